@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 def part(packed: str, index: int) -> Column:
     """Sub-field ``index`` of a packed column, NULL when missing."""
+    if index == 0:
+        return F.substring_index(F.col(packed), ",", 1)  # no array needed for the first one
     return F.get(F.split(F.col(packed), ","), index)
 
 

@@ -29,8 +29,8 @@ def good_reports(df: DataFrame) -> DataFrame:
     A report without precipitation has no quality code there and is dropped.
     """
     return df.where(
-        (wf.station_code() != UNKNOWN_STATION)
-        & F.col("REPORT_TYPE").isin(REPORT_TYPES)
+        F.col("REPORT_TYPE").isin(REPORT_TYPES)
+        & (wf.station_code() != UNKNOWN_STATION)
         & (wf.part("AA1", 3) == GOOD)
         & (wf.part("TMP", 1) == GOOD)
     )
