@@ -2,18 +2,18 @@
 
 from pyspark.sql import functions as F
 
-from checks.etl import BRONZE_OUT, DELAYS, KEYED, SPAN, bronze, hourly, silver
+from checks.etl import DELAYS, KEYED, bronze, hourly, silver
 from checks.registry import query
 from checks.sql import MEASURE_COLS, NUMERIC_COLS, SILVER_COLS, SILVER_DOUBLES, cols, ctes, r
 from skylag import fixtures as fx
 from skylag.functions import airports, status
-from skylag.functions import times
 from skylag.operators import distributions as ds
 from skylag.operators import explore as ex
 from skylag.operators import flights as fl
 from skylag.operators import nulls, ordered, relations
 from skylag.operators import profile as pf
 from skylag.operators import split as sp
+from skylag.operators.weather import settled
 from skylag.sources import tables as tb
 
 # --- grouped delays over bronze flights -------------------------------------
@@ -96,9 +96,9 @@ def _(spark, sf):
     return hourly(spark, sf).select(*MEASURE_COLS)
 
 
-@query("weather_feature_stats", f"{ctes('hourly')} {' UNION ALL '.join(stats_sql('hourly', c, 'FLOAT') for c in MEASURE_COLS)}")
+@query("weather_feature_stats", f"{ctes('hourly6')} {' UNION ALL '.join(stats_sql('hourly6', c, 'FLOAT') for c in MEASURE_COLS)}")
 def _(spark, sf):
-    return pf.numeric_stats(hourly(spark, sf), MEASURE_COLS)
+    return pf.numeric_stats(settled(hourly(spark, sf), MEASURE_COLS), MEASURE_COLS)
 
 # --- silver, both directions ---------------------------------------------------
 
@@ -183,12 +183,12 @@ FROM u, b GROUP BY 1, 2""")
             return ds.hist2d(silver(spark, sf, d), "MONTH", val, 12, 25)
 
     for x, y in (("ARR_DELAY", "DEP_DELAY"), ("ARR_DELAY", "tot_precip_mm"), ("DEP_DELAY", "tot_precip_mm")):
-        @query(f"pair_density_{x[:3].lower()}_{y[:3].lower()}_{d}", f"""{base}, u AS (SELECT {x} AS x, {y} AS y FROM {d} WHERE {x} IS NOT NULL AND {y} IS NOT NULL),
+        @query(f"pair_density_{x[:3].lower()}_{y[:3].lower()}_{d}", f"""{ctes(d + '6')}, u AS (SELECT {x} AS x, {y} AS y FROM {d}6 WHERE {x} IS NOT NULL AND {y} IS NOT NULL),
 b AS (SELECT min(x) AS ax, (max(x)-min(x))/20 AS wx, min(y) AS ay, (max(y)-min(y))/20 AS wy FROM u)
 SELECT CAST(least(floor((x-ax)/wx),19) AS INT) AS x_bin, CAST(least(floor((y-ay)/wy),19) AS INT) AS y_bin, CAST(count(*) AS BIGINT) AS flights
 FROM u, b GROUP BY 1, 2""")
         def _(spark, sf, d=d, x=x, y=y):
-            return ds.hist2d(silver(spark, sf, d), x, y, 20, 20)
+            return ds.hist2d(settled(silver(spark, sf, d), MEASURE_COLS), x, y, 20, 20)
 
     @query(f"corr_matrix_{d}", f"{base} " + " UNION ALL ".join(
         f"""SELECT '{a}' AS a, '{b}' AS b, {r(f'corr("{a}","{b}")','corr')} FROM {d}"""
@@ -206,9 +206,9 @@ FROM u, b GROUP BY 1, 2""")
     def _(spark, sf, d=d):
         return nulls.null_counts(silver(spark, sf, d, with_key=False))
 
-    @query(f"feature_stats_{d}", f"{base} {' UNION ALL '.join(stats_sql(d, c, kind_of(c)) for c in NUMERIC_COLS)}")
+    @query(f"feature_stats_{d}", f"{ctes(d + '6')} {' UNION ALL '.join(stats_sql(d + '6', c, kind_of(c)) for c in NUMERIC_COLS)}")
     def _(spark, sf, d=d):
-        return pf.numeric_stats(silver(spark, sf, d), NUMERIC_COLS)
+        return pf.numeric_stats(settled(silver(spark, sf, d), MEASURE_COLS), NUMERIC_COLS)
 
     @query(f"dropna_any_{d}", f"{base} SELECT {cols(KEYED)} FROM {d} WHERE " + " AND ".join(f'"{c}" IS NOT NULL' for c in SILVER_COLS))
     def _(spark, sf, d=d):
@@ -275,7 +275,6 @@ def _(spark, sf):
 # --- fills, positions, limits ---------------------------------------------------
 
 FILL = ["DEP_DELAY", "ARR_DELAY", "hour", *MEASURE_COLS]
-ORDER = [F.col, "FL_DATE", "hour", "FLIGHT_KEY"]
 ORDER_SQL = 'PARTITION BY ORIGIN_AIRPORT_ID ORDER BY FL_DATE NULLS LAST, "hour" NULLS LAST, FLIGHT_KEY'
 
 

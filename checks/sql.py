@@ -71,10 +71,24 @@ _silver = ", ".join(f'"{c}"' for c in SILVER_COLS)
 DEP = f"""dep AS (SELECT FLIGHT_KEY, {_silver} FROM clean JOIN hourly ON sched_dep_hour = "time" AND ORIGIN = call_sign)"""
 ARR = f"""arr AS (SELECT FLIGHT_KEY, {_silver} FROM clean JOIN hourly ON sched_arr_hour = "time" AND DEST = call_sign)"""
 
+def r(expr: str, alias: str | None = None) -> str:
+    """A double to six places, as the Spark side is rounded."""
+    return f'round(({expr}) + 1e-9, 6) AS "{alias or expr}"'
+
+
+def settled(name: str, keep, measures=MEASURE_COLS) -> str:
+    """Copy ``<name>6`` of a table with its measures to six places."""
+    out = ", ".join(r(f'"{c}"', c) if c in measures else f'"{c}"' for c in keep)
+    return f"{name}6 AS (SELECT {out} FROM {name})"
+
+
 _CTES = {
     "flights": (FLIGHTS, []), "reports": (REPORTS, []), "clean": (CLEAN, ["flights"]), "good": (GOOD, ["reports"]),
     "measured": (MEASURED, ["good"]), "hourly": (HOURLY, ["measured"]),
     "dep": (DEP, ["clean", "hourly"]), "arr": (ARR, ["clean", "hourly"]),
+    "hourly6": (settled("hourly", ["time", "call_sign", *MEASURE_COLS]), ["hourly"]),
+    "dep6": (settled("dep", ["FLIGHT_KEY", *SILVER_COLS]), ["dep"]),
+    "arr6": (settled("arr", ["FLIGHT_KEY", *SILVER_COLS]), ["arr"]),
 }
 
 
@@ -94,10 +108,5 @@ def ctes(*names: str) -> str:
     return "WITH " + ",\n".join(order)
 
 
-def r(expr: str, alias: str | None = None) -> str:
-    """A double to six places, as the Spark side is rounded."""
-    return f'round(({expr}) + 1e-9, 6) AS "{alias or expr}"'
-
-
 def cols(names, doubles=SILVER_DOUBLES) -> str:
     return ", ".join(r(f'"{c}"', c) if c in doubles else f'"{c}"' for c in names)

@@ -49,7 +49,7 @@ def parse_reports(df: DataFrame) -> DataFrame:
     )
 
 
-def report_measures(df: DataFrame, null_sentinels: bool = False) -> DataFrame:
+def report_measures(df: DataFrame, null_sentinels: bool = False, keep: list[str] = ()) -> DataFrame:
     """Good reports as (time, call_sign, six measures), ready to aggregate.
 
     ``null_sentinels`` turns missing-value codes into NULL; the default keeps
@@ -62,6 +62,7 @@ def report_measures(df: DataFrame, null_sentinels: bool = False) -> DataFrame:
         return F.when(wf.part(packed, index) != MISSING[packed], value)
 
     return good_reports(df).select(
+        *keep,
         wf.report_hour().alias("time"),
         wf.station_code().alias("call_sign"),
         wf.fahrenheit("TMP").alias("temp_f"),
@@ -87,3 +88,12 @@ def hourly_aggregates():
 def hourly_weather(df: DataFrame, null_sentinels: bool = False) -> DataFrame:
     """Five means and one sum per (hour, station); partial sums form before the shuffle."""
     return report_measures(df, null_sentinels).groupBy("time", "call_sign").agg(*hourly_aggregates())
+
+
+def settled(df: DataFrame, cols: list[str], places: int = 6) -> DataFrame:
+    """Means and sums to fixed places, so equal readings compare equal.
+
+    The last bits of a mean depend on the order rows were added in; counting
+    distinct values or cutting bins needs them gone.
+    """
+    return df.withColumns({c: F.round(F.col(c) + 1e-9, places) for c in cols})

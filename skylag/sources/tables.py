@@ -38,11 +38,10 @@ def save_idempotent(df: DataFrame, path: str, partition_by: list[str]) -> str:
 def save_by_month(df: DataFrame, path: str) -> str:
     """Table partitioned by year and month, rewritten idempotently.
 
-    Rows of one month go to one writer per 32 sub-buckets, so a month is
-    neither thousands of small files nor one task.
+    Rebalancing by month merges small months into few files and splits a hot
+    month over several writers, whatever its rows look like.
     """
-    spread = F.pmod(F.xxhash64(*df.columns), F.lit(32))
-    return save_idempotent(df.repartition("YEAR", "MONTH", spread), path, ["YEAR", "MONTH"])
+    return save_idempotent(df.hint("rebalance", "YEAR", "MONTH"), path, ["YEAR", "MONTH"])
 
 
 def between_months(df: DataFrame, lo, hi) -> DataFrame:
@@ -62,11 +61,18 @@ def ensure_db(spark: SparkSession, name: str, location: str | None = None) -> st
     return name
 
 
-def register(spark: SparkSession, db: str, name: str, path: str) -> DataFrame:
+def register(spark: SparkSession, db: str, name: str, path: str, partition_by: list[str] = ()) -> DataFrame:
     """Drop and recreate an external table over written files; the files stay."""
-    spark.sql(f"DROP TABLE IF EXISTS {db}.{name}")
-    spark.sql(f"CREATE TABLE {db}.{name} USING parquet LOCATION '{path}'")
-    return spark.table(f"{db}.{name}")
+    full = f"{db}.{name}"
+    spark.sql(f"DROP TABLE IF EXISTS {full}")
+    if partition_by:
+        schema = spark.read.parquet(path).schema
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+        spark.sql(f"CREATE TABLE {full} ({columns}) USING parquet PARTITIONED BY ({', '.join(partition_by)}) LOCATION '{path}'")
+        spark.catalog.recoverPartitions(full)
+    else:
+        spark.sql(f"CREATE TABLE {full} USING parquet LOCATION '{path}'")
+    return spark.table(full)
 
 
 def written(df: DataFrame, label: str, mode: str = "append", partition_by: list[str] = ()) -> str:
