@@ -8,6 +8,7 @@ from checks.registry import query
 from checks.sql import ctes, r
 from skylag.operators import model as md
 from skylag.operators import split as sp
+from skylag.operators.flights import between_closed
 from skylag.plans import forecast as fc
 from skylag.plans import monitor as pm
 from skylag.session import new_path, stage
@@ -23,6 +24,11 @@ def parts(spark, sf, d, kind=sp.TRAIN_TEST):
     return [md.training_frame(rows.where(F.col("part") == p), LABEL[d]) for p in ("train", "test")]
 
 
+def span(rows):
+    """Training rows of all airports."""
+    return between_closed(rows, "FL_DATE", P.training_start, P.training_end)
+
+
 @query("assemble_features")
 def _(spark, sf):
     frame = md.training_frame(silver(spark, sf, "dep"), "DEP_DELAY")
@@ -119,7 +125,7 @@ def _(spark, sf):
 @query("forecast_by_stage")
 def _(spark, sf):
     rows = stage(silver(spark, sf, "dep"), "silver")
-    train = md.training_frame(fc.training_input(rows, P), "DEP_DELAY")
+    train = md.training_frame(span(rows), "DEP_DELAY")
     models = {"Staging": md.train_gbt(train, "DEP_DELAY", **SMALL), "Production": md.train_linear(train, "DEP_DELAY")}
     return fc.forecast_by_stage(models, fc.forecast_input(rows, P))
 
@@ -127,13 +133,13 @@ def _(spark, sf):
 @query("forecast_production")
 def _(spark, sf):
     rows = stage(silver(spark, sf, "dep"), "silver")
-    model = md.train_linear(md.training_frame(fc.training_input(rows, P), "DEP_DELAY"), "DEP_DELAY")
+    model = md.train_linear(md.training_frame(span(rows), "DEP_DELAY"), "DEP_DELAY")
     return fc.forecast_by_stage({"Production": model}, fc.forecast_input(rows, P))
 
 
 @query("residual_trend")
 def _(spark, sf):
     rows = stage(silver(spark, sf, "arr"), "silver")
-    train = md.training_frame(fc.training_input(rows, P), "ARR_DELAY")
+    train = md.training_frame(span(rows), "ARR_DELAY")
     models = {"staging": md.train_gbt(train, "ARR_DELAY", **SMALL), "prod": md.train_linear(train, "ARR_DELAY")}
     return pm.residual_trend(pm.stage_residuals(rows, P, models))

@@ -150,7 +150,7 @@ TIMES_SQL = """timed AS (SELECT *, CASE WHEN a < d THEN a + INTERVAL 1 DAY ELSE
 CASE WHEN substr(CRS_DEP_TIME,1,2) < '24' THEN CAST(FL_DATE AS TIMESTAMP) + INTERVAL 1 HOUR * CAST(substr(CRS_DEP_TIME,1,2) AS INT) + INTERVAL 1 MINUTE * CAST(substr(CRS_DEP_TIME,3,2) AS INT) END AS d,
 CASE WHEN substr(CRS_ARR_TIME,1,2) < '24' THEN CAST(FL_DATE AS TIMESTAMP) + INTERVAL 1 HOUR * CAST(substr(CRS_ARR_TIME,1,2) AS INT) + INTERVAL 1 MINUTE * CAST(substr(CRS_ARR_TIME,3,2) AS INT) END AS a
 FROM flights))"""
-MARK = "1998-06-15 08:00:00"
+MARK = "1997-07-10 12:00:00"
 
 for name, hours in (("next_24h", 24), ("next_30_days", 720)):
     @query(name, f"""{ctes('flights')}, {TIMES_SQL} SELECT FLIGHT_KEY, ORIGIN, DEST, sched_dep, sched_arr,

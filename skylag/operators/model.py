@@ -71,9 +71,15 @@ def tune(df: DataFrame, label: str, **search) -> PipelineModel:
     return build_search([c for c in df.columns if c != label], label, **search).fit(df)
 
 
+def varying(cols: list[str], df: DataFrame) -> list[str]:
+    """Columns with more than one value, found in one aggregate."""
+    ends = df.agg(*[(F.min(c) < F.max(c)).alias(c) for c in cols]).first()
+    return [c for c in cols if ends[c]]
+
+
 def train_linear(df: DataFrame, label: str) -> PipelineModel:
-    """Ordinary least squares on all features."""
-    features = [c for c in df.columns if c != label]
+    """Ordinary least squares on all features that vary; a constant one is part of the intercept."""
+    features = varying([c for c in df.columns if c != label], df)
     line = LinearRegression(labelCol=label, featuresCol="rawFeatures", solver="normal", regParam=0.0)
     return Pipeline(stages=[assembler(features), line]).fit(df)
 

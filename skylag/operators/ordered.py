@@ -38,29 +38,24 @@ def _join_edges(df: DataFrame, edges: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def _fill(chunks: DataFrame, pieces: int, cols, order, by, forward: bool) -> DataFrame:
-    """Add ``filled_<col>``: nearest value before (or after) in the total order."""
+    """Add ``filled_<col>``: nearest value at or before (or after) each row in the total order.
+
+    Both directions look back over rows already seen, the backward one in
+    reversed order: a frame that reaches ahead would be scanned anew per row.
+    """
     keys = ["chunk", *by]
-    window = Window.partitionBy(*keys).orderBy(*order)
-    if forward:
-        frame, pick = window.rowsBetween(Window.unboundedPreceding, 0), F.last
-    else:
-        frame, pick = window.rowsBetween(0, Window.unboundedFollowing), F.first
-    local = chunks.withColumns({f"filled_{c}": pick(c, ignorenulls=True).over(frame) for c in cols})
+    along = order if forward else [F.desc("_pos")]
+    seen = Window.partitionBy(*keys).orderBy(*along).rowsBetween(Window.unboundedPreceding, 0)
+    local = chunks.withColumns({f"filled_{c}": F.last(c, ignorenulls=True).over(seen) for c in cols})
     if pieces == 1:
         return local
-    # The value a chunk hands on sits in its last (first) row once filled.
+    # What a chunk hands on sits in its last (first) row once filled.
     at = F.max_by if forward else F.min_by
-    ends = chunks.withColumns(
-        {f"filled_{c}": pick(c, ignorenulls=True).over(frame) for c in cols} | {"pos": F.row_number().over(window)}
-    ).groupBy(*keys).agg(*[at(f"filled_{c}", "pos").alias(f"end_{c}") for c in cols])
-    across = Window.partitionBy(*by).orderBy("chunk")
-    if forward:
-        neighbours = across.rowsBetween(Window.unboundedPreceding, -1)
-    else:
-        neighbours = across.rowsBetween(1, Window.unboundedFollowing)
-    edges = ends.select(*keys, *[pick(f"end_{c}", ignorenulls=True).over(neighbours).alias(f"carry_{c}") for c in cols])
-    joined = _join_edges(local, edges, keys)
-    return joined.withColumns(
+    ends = local.groupBy(*keys).agg(*[at(f"filled_{c}", "_pos").alias(f"end_{c}") for c in cols])
+    before = Window.partitionBy(*by).orderBy(F.asc("chunk") if forward else F.desc("chunk")).rowsBetween(
+        Window.unboundedPreceding, -1)
+    edges = ends.select(*keys, *[F.last(f"end_{c}", ignorenulls=True).over(before).alias(f"carry_{c}") for c in cols])
+    return _join_edges(local, edges, keys).withColumns(
         {f"filled_{c}": F.coalesce(f"filled_{c}", f"carry_{c}") for c in cols}
     ).drop(*[f"carry_{c}" for c in cols])
 
@@ -78,7 +73,8 @@ def fill_both(df: DataFrame, cols: list[str], order: list[Column], by: list[str]
 def _finish(df, cols, order, by, rows, passes):
     by = list(by)
     chunks, pieces = order_chunks(df, [*[F.col(b) for b in by], *order], rows)
-    out = chunks
+    place = Window.partitionBy("chunk", *by).orderBy(*order)
+    out = chunks.withColumn("_pos", F.row_number().over(place))
     for forward in passes:
         # The second pass looks at the given columns again, not at filled ones.
         out = _fill(out, pieces, cols, order, by, forward)
