@@ -9,6 +9,7 @@ from skylag.functions import airports, times, weather_fields as wf
 from skylag.operators import flights as fl
 from skylag.operators import silver as sv
 from skylag.operators import weather as wx
+from skylag.session import stage
 
 FLIGHT_OUT = ["FLIGHT_KEY", *fl.FLIGHT_COLUMNS]
 DELAYS = {"DEP_DELAY", "ARR_DELAY", "DEP_TIME"}
@@ -30,6 +31,11 @@ def silver(spark, sf_dir, direction, with_key=True):
     return sv.to_silver(joined, with_key)
 
 
+def silver_table(spark, sf_dir, direction, *keep):
+    """Columns of a silver table, written once for queries that read them more than once."""
+    return stage(silver(spark, sf_dir, direction).select(*keep), "silver")
+
+
 # --- flights ---------------------------------------------------------------
 
 @query("project_flights", f"{ctes('flights')} SELECT {cols(FLIGHT_OUT, DELAYS)} FROM flights")

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from checks.etl import DELAYS, KEYED, bronze, hourly, silver
+from checks.etl import DELAYS, KEYED, bronze, hourly, silver, silver_table
 from checks.registry import query
 from checks.sql import MEASURE_COLS, NUMERIC_COLS, SILVER_COLS, SILVER_DOUBLES, cols, ctes, r
 from skylag import fixtures as fx
@@ -165,7 +165,7 @@ c AS (SELECT CAST(least(floor(({val}-a)/w),49) AS INT) AS b, count(*) AS n FROM
 SELECT CAST(i AS INT) AS bin, {r('a+i*w','lo')}, {r('a+(i+1)*w','hi')}, CAST(coalesce(n,0) AS BIGINT) AS flights
 FROM range(50) t(i) CROSS JOIN x LEFT JOIN c ON b = i""")
         def _(spark, sf, d=d, val=val):
-            return ds.histogram(silver(spark, sf, d), val)
+            return ds.histogram(silver_table(spark, sf, d, val), val)
 
         @query(f"density_{short}_{d}", f"""{base}, x AS (SELECT min({val}) AS a, max({val}) AS z, count({val}) AS n,
 stddev_samp({val}) * pow(count({val}), -0.2) AS h FROM {d}),
@@ -173,14 +173,14 @@ c AS (SELECT least(floor(({val}-a)/((z-a)/50)),49) AS b, count(*) AS k FROM {d},
 SELECT {r('a + i*(z-a)/100','x')}, {r("sum(k*exp(-0.5*pow((a + i*(z-a)/100 - (a+(b+0.5)*(z-a)/50))/h,2)))/sqrt(2*pi())/(n*h)",'density')}
 FROM c CROSS JOIN x CROSS JOIN range(101) t(i) GROUP BY i, a, z, n, h""")
         def _(spark, sf, d=d, val=val):
-            return ds.binned_kde(silver(spark, sf, d), val)
+            return ds.binned_kde(silver_table(spark, sf, d, val), val)
 
         @query(f"month_delay_density_{short}_{d}", f"""{base}, u AS (SELECT CAST("MONTH" AS DOUBLE) AS x, {val} AS y FROM {d} WHERE {val} IS NOT NULL),
 b AS (SELECT min(x) AS ax, (max(x)-min(x))/12 AS wx, min(y) AS ay, (max(y)-min(y))/25 AS wy FROM u)
 SELECT CAST(least(floor((x-ax)/wx),11) AS INT) AS x_bin, CAST(least(floor((y-ay)/wy),24) AS INT) AS y_bin, CAST(count(*) AS BIGINT) AS flights
 FROM u, b GROUP BY 1, 2""")
         def _(spark, sf, d=d, val=val):
-            return ds.hist2d(silver(spark, sf, d), "MONTH", val, 12, 25)
+            return ds.hist2d(silver_table(spark, sf, d, "MONTH", val), "MONTH", val, 12, 25)
 
     for x, y in (("ARR_DELAY", "DEP_DELAY"), ("ARR_DELAY", "tot_precip_mm"), ("DEP_DELAY", "tot_precip_mm")):
         @query(f"pair_density_{x[:3].lower()}_{y[:3].lower()}_{d}", f"""{ctes(d + '6')}, u AS (SELECT {x} AS x, {y} AS y FROM {d}6 WHERE {x} IS NOT NULL AND {y} IS NOT NULL),
@@ -188,7 +188,7 @@ b AS (SELECT min(x) AS ax, (max(x)-min(x))/20 AS wx, min(y) AS ay, (max(y)-min(y
 SELECT CAST(least(floor((x-ax)/wx),19) AS INT) AS x_bin, CAST(least(floor((y-ay)/wy),19) AS INT) AS y_bin, CAST(count(*) AS BIGINT) AS flights
 FROM u, b GROUP BY 1, 2""")
         def _(spark, sf, d=d, x=x, y=y):
-            return ds.hist2d(settled(silver(spark, sf, d), MEASURE_COLS), x, y, 20, 20)
+            return ds.hist2d(silver_table(spark, sf, d, x, *([y] if y in DELAYS else [F.round(F.col(y) + 1e-9, 6).alias(y)])), x, y, 20, 20)
 
     @query(f"corr_matrix_{d}", f"{base} " + " UNION ALL ".join(
         f"""SELECT '{a}' AS a, '{b}' AS b, {r(f'corr("{a}","{b}")','corr')} FROM {d}"""

@@ -1,10 +1,13 @@
-"""Value counts and what follows from them: histograms, densities, box statistics.
+"""Histograms, densities and box statistics.
 
-Each distribution reads its input once, as (value, n) counts that already
-merge on the map side, and keeps the counts as a small written table for the
-further steps. Only bounds of the value range reach the driver.
+Binned results take the value range first and then count per bin, so what is
+shuffled has the size of the bins. Exact quantiles need every distinct value
+and start from (value, n) counts that merge on the map side, kept as a written
+table. Only ranges and moments reach the driver.
 """
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,34 +25,44 @@ def value_counts(df: DataFrame, cols: list[str], by: list[str] = ()) -> DataFram
     return df.select(*by, F.inline(pairs)).groupBy(*by, "feature", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
-def value_range(counts: DataFrame, col: str = "value") -> tuple[float, float] | None:
-    """Smallest and largest value; widened by half when they coincide, None without values."""
-    lo, hi = counts.agg(F.min(col), F.max(col)).first()
-    if lo is None:
-        return None
-    return (lo - 0.5, hi + 0.5) if lo == hi else (lo, hi)
+def ranges(df: DataFrame, cols: list[str]) -> dict[str, tuple[float, float, int]]:
+    """(smallest, largest, number of values) per column in one aggregate; columns without values are left out.
+
+    A single value gets a range of one around it, so bins have a width.
+    """
+    asked = [f(F.col(c).cast("double")).alias(f"{k}{i}")
+             for i, c in enumerate(cols) for k, f in (("lo", F.min), ("hi", F.max), ("n", F.count))]
+    row = df.agg(*asked).first()
+    out = {}
+    for i, c in enumerate(cols):
+        lo, hi = row[f"lo{i}"], row[f"hi{i}"]
+        if lo is not None:
+            out[c] = (lo - 0.5, hi + 0.5, row[f"n{i}"]) if lo == hi else (lo, hi, row[f"n{i}"])
+    return out
 
 
 def bin_of(value: Column, lo: float, hi: float, bins: int) -> Column:
-    """Equal-width bin number; the upper bound belongs to the last bin."""
+    """Equal-width bin number, NULL for no value; the upper bound belongs to the last bin."""
     width = (hi - lo) / bins
-    return F.least(F.floor((value - F.lit(lo)) / F.lit(width)), F.lit(bins - 1)).cast("int")
+    place = F.floor((value.cast("double") - F.lit(lo)) / F.lit(width))
+    # ``least`` alone would put a missing value into the last bin.
+    return F.when(place.isNotNull(), F.least(place, F.lit(bins - 1))).cast("int")
 
 
 def histogram(df: DataFrame, col: str, bins: int = 50) -> DataFrame:
-    """All bins (bin, lo, hi, flights) of a column, empty ones included."""
-    counts = stage(value_counts(df.where(F.col(col).isNotNull()), [col]), "counts")
-    return histogram_of(counts, bins)
+    """All bins (bin, lo, hi, flights) of a column, empty ones included.
 
-
-def histogram_of(counts: DataFrame, bins: int) -> DataFrame:
-    bounds = value_range(counts)
-    if bounds is None:
-        return counts.sparkSession.createDataFrame([], "bin int, lo double, hi double, flights long")
-    lo, hi = bounds
+    Reads the column twice: for its range, then for the counts, which shrink
+    to ``bins`` rows before they are shuffled.
+    """
+    known = ranges(df, [col])
+    if col not in known:
+        return df.sparkSession.createDataFrame([], "bin int, lo double, hi double, flights long")
+    lo, hi, _ = known[col]
     width = (hi - lo) / bins
-    filled = counts.groupBy(bin_of(F.col("value"), lo, hi, bins).alias("bin")).agg(F.sum("n").alias("flights"))
-    every = counts.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
+    filled = df.where(F.col(col).isNotNull()).groupBy(bin_of(F.col(col), lo, hi, bins).alias("bin")).agg(
+        F.count(F.lit(1)).alias("flights"))
+    every = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
     return every.join(filled, "bin", "left").select(
         "bin",
         (F.lit(lo) + F.col("bin") * F.lit(width)).alias("lo"),
@@ -63,22 +76,23 @@ def binned_kde(df: DataFrame, col: str, bins: int = 50, grid: int = 100) -> Data
 
     The bandwidth is the sample standard deviation times n^(-1/5).
     """
-    counts = stage(value_counts(df.where(F.col(col).isNotNull()), [col]), "counts")
-    bounds = value_range(counts)
-    if bounds is None:
-        return counts.sparkSession.createDataFrame([], "x double, density double")
-    lo, hi = bounds
-    n, mean = counts.agg(F.sum("n"), F.sum(F.col("n") * F.col("value")) / F.sum("n")).first()
-    spread = counts.agg(F.sum(F.col("n") * F.pow(F.col("value") - F.lit(mean), 2))).first()[0]
-    h = (spread / max(n - 1, 1)) ** 0.5 * n ** -0.2 or (hi - lo) / bins
+    known = ranges(df, [col])
+    if col not in known:
+        return df.sparkSession.createDataFrame([], "x double, density double")
+    lo, hi, n = known[col]
     step, width = (hi - lo) / grid, (hi - lo) / bins
-    binned = counts.groupBy(bin_of(F.col("value"), lo, hi, bins).alias("bin")).agg(F.sum("n").alias("n"))
+    # The spread of raw values, merged from per-bin sums around each bin's centre.
+    value, centre = F.col(col).cast("double"), F.lit(lo) + (F.col("bin") + 0.5) * F.lit(width)
+    binned = df.where(value.isNotNull()).select(value.alias("v"), bin_of(value, lo, hi, bins).alias("bin")).groupBy(
+        "bin").agg(F.count(F.lit(1)).alias("n"), F.avg("v").alias("mean"), F.var_pop("v").alias("var"))
+    table = stage(binned, "bins")
+    mean = table.agg(F.sum(F.col("n") * F.col("mean")) / n).first()[0]
+    spread = table.agg(F.sum(F.col("n") * (F.col("var") + F.pow(F.col("mean") - F.lit(mean), 2)))).first()[0]
+    h = (spread / max(n - 1, 1)) ** 0.5 * n ** -0.2 or width
     # Each of at most ``bins`` rows meets the fixed grid; nothing here grows with the data.
-    points = binned.select(
-        "n", (F.lit(lo) + (F.col("bin") + 0.5) * F.lit(width)).alias("centre"),
-        F.explode(F.sequence(F.lit(0), F.lit(grid))).alias("i"))
+    points = table.select("n", centre.alias("centre"), F.explode(F.sequence(F.lit(0), F.lit(grid))).alias("i"))
     x = F.lit(lo) + F.col("i") * F.lit(step)
-    kernel = F.exp(-0.5 * F.pow((x - F.col("centre")) / F.lit(h), 2)) * F.lit(1 / (2 * 3.141592653589793) ** 0.5)
+    kernel = F.exp(-0.5 * F.pow((x - F.col("centre")) / F.lit(h), 2)) * F.lit((2 * math.pi) ** -0.5)
     return points.groupBy("i").agg((F.sum(F.col("n") * kernel) / F.lit(n * h)).alias("density")).select(
         x.alias("x"), "density")
 
@@ -86,15 +100,12 @@ def binned_kde(df: DataFrame, col: str, bins: int = 50, grid: int = 100) -> Data
 def hist2d(df: DataFrame, x: str, y: str, bins_x: int, bins_y: int) -> DataFrame:
     """Non-empty cells (x_bin, y_bin, flights) of two columns; rows with a null are left out."""
     both = df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
-    counts = stage(
-        both.groupBy(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
-        .agg(F.count(F.lit(1)).alias("n")), "counts2d")
-    range_x, range_y = value_range(counts, "x"), value_range(counts, "y")
-    if range_x is None:
-        return counts.sparkSession.createDataFrame([], "x_bin int, y_bin int, flights long")
-    return counts.groupBy(
-        bin_of(F.col("x"), *range_x, bins_x).alias("x_bin"), bin_of(F.col("y"), *range_y, bins_y).alias("y_bin")
-    ).agg(F.sum("n").alias("flights"))
+    known = ranges(both, [x, y])
+    if x not in known:
+        return df.sparkSession.createDataFrame([], "x_bin int, y_bin int, flights long")
+    return both.groupBy(
+        bin_of(F.col(x), *known[x][:2], bins_x).alias("x_bin"), bin_of(F.col(y), *known[y][:2], bins_y).alias("y_bin")
+    ).agg(F.count(F.lit(1)).alias("flights"))
 
 
 def box_stats(df: DataFrame, key: str, val: str, rows: int = ROWS_PER_CHUNK) -> DataFrame:

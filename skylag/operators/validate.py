@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skylag.operators.distributions import value_counts
+from skylag.operators.distributions import bin_of, ranges
 from skylag.operators.profile import feature_types, numeric_columns, text_columns, text_counts
 from skylag.session import stage
 
@@ -94,28 +94,34 @@ def compare_stats(left: DataFrame, right: DataFrame, names: tuple[str, str] = ("
     return prefixed(left, names[0]).join(prefixed(right, names[1]), "feature", "full")
 
 
+def _bin_counts(df: DataFrame, bounds: dict[str, tuple[float, float]], bins: int, out: str) -> DataFrame:
+    """Rows (feature, bin, <out>) over given bounds; shuffles at most ``bins`` rows per feature and task."""
+    places = F.array(*[
+        F.struct(F.lit(c).alias("feature"), bin_of(F.col(c), lo, hi, bins).alias("bin"))
+        for c, (lo, hi) in bounds.items()
+    ])
+    return df.select(F.inline(places)).where(F.col("bin").isNotNull()).groupBy("feature", "bin").agg(
+        F.count(F.lit(1)).alias(out))
+
+
 def jsd(a: DataFrame, b: DataFrame, cols: list[str] | None = None, bins: int = 10) -> DataFrame:
     """Jensen-Shannon divergence (feature, jsd), base 2, over common equal-width bins.
 
-    Both tables shrink to value counts in one pass each; bins are cut from the
-    joint range of each column.
+    One aggregate per table gives the joint ranges, one more the bin counts. A
+    feature without values on one side is left out.
     """
     cols = cols or [c for c in numeric_columns(a) if c in b.columns]
-    counts = stage(
-        value_counts(a, cols).withColumn("in_a", F.lit(True))
-        .unionByName(value_counts(b, cols).withColumn("in_a", F.lit(False)))
-        .where(F.col("value").isNotNull()), "counts")
-    # One row per column: small whatever the tables' size.
-    ranges = F.broadcast(counts.groupBy("feature").agg(
-        F.min("value").alias("lo"), F.max("value").alias("hi"),
-        F.sum(F.when(F.col("in_a"), F.col("n"))).alias("all_a"),
-        F.sum(F.when(~F.col("in_a"), F.col("n"))).alias("all_b")))
-    width = (F.col("hi") - F.col("lo")) / bins
-    place = F.when(width == 0, 0).otherwise(
-        F.least(F.floor(F.try_divide(F.col("value") - F.col("lo"), width)), F.lit(bins - 1)))
-    shares = counts.join(ranges, "feature").groupBy("feature", place.alias("bin")).agg(
-        F.coalesce(F.try_divide(F.sum(F.when(F.col("in_a"), F.col("n"))), F.first("all_a")), F.lit(0.0)).alias("p"),
-        F.coalesce(F.try_divide(F.sum(F.when(~F.col("in_a"), F.col("n"))), F.first("all_b")), F.lit(0.0)).alias("q"))
+    in_a, in_b = ranges(a, cols), ranges(b, cols)
+    shared = [c for c in cols if c in in_a and c in in_b]
+    if not shared:
+        return a.sparkSession.createDataFrame([], "feature string, jsd double")
+    bounds = {c: (min(in_a[c][0], in_b[c][0]), max(in_a[c][1], in_b[c][1])) for c in shared}
+    sizes = F.create_map(*[x for c in shared for x in (F.lit(c), F.array(F.lit(in_a[c][2]), F.lit(in_b[c][2])))])
+    total = F.try_element_at(sizes, F.col("feature"))
+    counts = _bin_counts(a, bounds, bins, "na").join(_bin_counts(b, bounds, bins, "nb"), ["feature", "bin"], "full")
+    shares = counts.select(
+        "feature", (F.coalesce("na", F.lit(0)) / F.get(total, 0)).alias("p"),
+        (F.coalesce("nb", F.lit(0)) / F.get(total, 1)).alias("q"))
     m = (F.col("p") + F.col("q")) / 2
 
     def part(x):
