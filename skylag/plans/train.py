@@ -10,6 +10,7 @@ from skylag.operators.flights import KEY, between_closed
 from skylag.operators.model import metrics, score, train_linear, training_frame, tune
 from skylag.operators.split import BASELINE, TRAIN_TEST, hash_split
 from skylag.params import Params
+from skylag.session import shared_dir
 from skylag.sources import registry
 
 
@@ -20,6 +21,12 @@ class Trained:
     run_id: str
 
 
+def use_checkpoints(spark: SparkSession) -> None:
+    """Let long boosting runs cut their lineage in the shared folder."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_dir(spark))
+
+
 def split_keys(df: DataFrame) -> list[str]:
     return [KEY] if KEY in df.columns else df.columns
 
@@ -30,6 +37,7 @@ def train(silver: DataFrame, params: Params, kind: str = "gbt", leak_free: bool
     ``kind`` is ``gbt`` (70/30, cross-validated grid) or ``linear`` (75/25).
     Each direction trains on its own silver table.
     """
+    use_checkpoints(silver.sparkSession)
     span = between_closed(silver, "FL_DATE", params.training_start, params.training_end)
     parts = hash_split(span, split_keys(span), TRAIN_TEST if kind == "gbt" else BASELINE)
     # Kept over the many passes of the fit; recomputed from the table when an executor is lost.
