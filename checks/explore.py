@@ -388,3 +388,8 @@ CAST(row_number() OVER (ORDER BY count(*) DESC, CAST({c} AS VARCHAR)) AS INT) AS
     for c in ("ORIGIN", "DEST", "OP_UNIQUE_CARRIER", "FL_DATE")))
 def _(spark, sf):
     return pf.top_values(bronze(spark, sf), ["ORIGIN", "DEST", "OP_UNIQUE_CARRIER", "FL_DATE"])
+
+
+@query("sort_by_agg", f"{ctes('clean')} SELECT OP_UNIQUE_CARRIER, CAST(count(*) AS BIGINT) AS flights FROM clean GROUP BY 1 ORDER BY flights")
+def _(spark, sf):
+    return ex.count_by(bronze(spark, sf), "OP_UNIQUE_CARRIER").sort("flights")

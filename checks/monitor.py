@@ -362,3 +362,9 @@ def _(spark, sf):
 @query("dataset_fingerprint")
 def _(spark, sf):
     return rg.dataset_fingerprint(bronze(spark, sf))
+
+
+@query("stats_compare", f"""{ctes('dep6', 'arr6')} {compare_sql('dep6','arr6','dep','arr')}""")
+def _(spark, sf):
+    both = {d: pf.numeric_stats(settled_silver(spark, sf, d), NUMERIC_COLS) for d in ("dep", "arr")}
+    return vl.compare_stats(both["dep"], both["arr"], ("dep", "arr"))
