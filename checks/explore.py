@@ -361,7 +361,7 @@ def _(spark, sf):
 
 @query("split_random")
 def _(spark, sf):
-    parts = silver(spark, sf, "dep").randomSplit([0.7, 0.3], seed=0)
+    parts = silver_table(spark, sf, "dep", "FLIGHT_KEY").randomSplit([0.7, 0.3], seed=0)
     return parts[0].select("FLIGHT_KEY", F.lit("train").alias("part")).unionByName(
         parts[1].select("FLIGHT_KEY", F.lit("test").alias("part")))
 

@@ -66,8 +66,9 @@ def predicted(df, stage_name):
 
 
 def stacked(spark, sf):
-    rows = silver(spark, sf, "dep")
-    return mon.stack_stages(*[mon.residuals(predicted(rows, s), "ARR_DELAY", s) for s in (mon.STAGING, mon.PROD)])
+    delay = F.col("DEP_DELAY")
+    return mon.residuals_by_stage(
+        silver(spark, sf, "dep"), "ARR_DELAY", {mon.STAGING: delay * 0.95, mon.PROD: delay * 0.9 + 1})
 
 
 @query("eval_rmse", f"{SCORED} SELECT {r('sqrt(avg(pow(ARR_DELAY-yhat,2)))','rmse')} FROM scored WHERE stage='prod'")
@@ -95,7 +96,9 @@ def _(spark, sf):
 
 @query("union_stages", f"{SCORED} SELECT stage, CAST(count(*) AS BIGINT) AS n FROM scored GROUP BY 1")
 def _(spark, sf):
-    return stacked(spark, sf).groupBy("stage").agg(F.count(F.lit(1)).alias("n"))
+    rows = stage(silver(spark, sf, "dep"), "silver")
+    parts = [mon.residuals(predicted(rows, s), "ARR_DELAY", s) for s in (mon.STAGING, mon.PROD)]
+    return mon.stack_stages(*parts).groupBy("stage").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("residual_density", f"""{SCORED} SELECT stage, {r('avg(CASE WHEN abs(residual)<=15 THEN 1.0 ELSE 0.0 END)','density')} FROM scored WHERE residual IS NOT NULL GROUP BY 1""")
@@ -139,10 +142,8 @@ FROM dep WHERE {JFK} AND {SERVE_SQL})"""
 UNION ALL SELECT {cols(KEYED)}, {r(PROD,'yhat')}, 'Production' AS model FROM f""")
 def _(spark, sf):
     ready = fc.filled(fc.forecast_input(silver(spark, sf, "dep"), P))
-    both = mon.stack_stages(
-        predicted(ready, mon.STAGING).withColumn("model", F.lit("Staging")),
-        predicted(ready, mon.PROD).withColumn("model", F.lit("Production")))
-    return fc.timeline(both)
+    delay = F.col("DEP_DELAY")
+    return fc.timeline(mon.by_stage(ready, {"Staging": delay * 0.95, "Production": delay * 0.9 + 1}, "model"))
 
 # --- the airport's next hours -------------------------------------------------------
 

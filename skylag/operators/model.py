@@ -91,6 +91,14 @@ def score(model: PipelineModel, df: DataFrame, out: str = "yhat") -> DataFrame:
     return scored.withColumnRenamed("prediction", out).drop(*helpers)
 
 
+def score_stages(models: dict[str, PipelineModel], df: DataFrame) -> tuple[DataFrame, dict[str, Column]]:
+    """The frame with one prediction column per stage's model, and those columns by stage."""
+    names = {stage: f"_yhat_{i}" for i, stage in enumerate(models)}
+    for stage, model in models.items():
+        df = score(model, df, names[stage])
+    return df, {stage: F.col(name) for stage, name in names.items()}
+
+
 def prediction_view(scored: DataFrame, label: str, features: list[str], prediction: str = "yhat") -> DataFrame:
     return scored.select(label, prediction, *features)
 

@@ -1,6 +1,6 @@
 """Residuals per model stage and the promotion rule on them."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 PROD, STAGING = "prod", "staging"
@@ -11,6 +11,21 @@ def residuals(scored: DataFrame, label: str, stage: str, prediction: str = "yhat
     return scored.withColumns({"stage": F.lit(stage), "residual": F.col(label) - F.col(prediction)})
 
 
+def by_stage(df: DataFrame, predictions: dict[str, Column], tag_col: str = "stage", out: str = "yhat") -> DataFrame:
+    """One row per input row and stage, with that stage's prediction.
+
+    All stages come out of a single pass over the rows; stacking one frame per
+    stage would read and fill them once for each.
+    """
+    rows = F.array(*[F.struct(F.lit(s).alias(tag_col), p.alias(out)) for s, p in predictions.items()])
+    keep = [c for c in df.columns if c not in predictions]
+    return df.select(*keep, F.inline(rows))
+
+
+def residuals_by_stage(df: DataFrame, label: str, predictions: dict[str, Column]) -> DataFrame:
+    return by_stage(df, predictions).withColumn("residual", F.col(label) - F.col("yhat"))
+
+
 def stack_stages(staging: DataFrame, production: DataFrame) -> DataFrame:
     return staging.unionByName(production)
 

@@ -24,13 +24,18 @@ def to_silver(df: DataFrame, with_key: bool = False) -> DataFrame:
     return df.select(*([KEY] if with_key else []), *SILVER_COLUMNS)
 
 
+def scope_hours(hourly: DataFrame) -> DataFrame:
+    """Hours of the airports in scope; the inner joins need no others."""
+    return hourly.where(F.col("call_sign").isin(CODES))
+
+
 def hourly_table(hourly: DataFrame) -> DataFrame:
     """Hourly weather of the airports in scope as a written table.
 
     Written once, so both directions read it back instead of aggregating the
     reports again, and so the join can check its exact size.
     """
-    return stage(hourly.where(F.col("call_sign").isin(CODES)), "hourly")
+    return stage(scope_hours(hourly), "hourly")
 
 
 def attach_weather(

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 
 from skylag.operators.flights import clean_flights
-from skylag.operators.silver import silver_arr, silver_dep, to_silver
+from skylag.operators.silver import scope_hours, silver_arr, silver_dep, to_silver
 from skylag.operators.weather import hourly_weather
 from skylag.session import configure
 from skylag.sources.tables import ensure_db, register, save_by_month
@@ -38,10 +38,10 @@ def build_silver(spark: SparkSession, flights_path: str, weather_path: str, base
     """Write and register both silver tables, partitioned by month; a rerun leaves them the same.
 
     The weather table is already small per hour and airport, so its size is
-    checked by a footer read and the flights are usually not shuffled at all.
+    checked by counting it and the flights are usually not shuffled at all.
     """
     configure(spark)
-    flights, weather = spark.read.parquet(flights_path), spark.read.parquet(weather_path)
+    flights, weather = spark.read.parquet(flights_path), scope_hours(spark.read.parquet(weather_path))
     ensure_db(spark, db, f"{base}/{db}")
     out = {}
     for name, join in (("silver_dep", silver_dep), ("silver_arr", silver_arr)):

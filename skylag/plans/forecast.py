@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from skylag.functions.times import with_rollover
 from skylag.operators.flights import KEY, at_origin, between_closed
-from skylag.operators.model import score
-from skylag.operators.nulls import tag
+from skylag.operators.model import score_stages
+from skylag.operators.monitor import by_stage
 from skylag.operators.ordered import ROWS_PER_CHUNK, fill_both
 from skylag.operators.silver import SILVER_COLUMNS
 from skylag.params import Params
@@ -34,13 +34,9 @@ def filled(rows: DataFrame, chunk_rows: int = ROWS_PER_CHUNK) -> DataFrame:
 
 
 def forecast_by_stage(models: dict[str, PipelineModel], rows: DataFrame) -> DataFrame:
-    """Each stage's forecast of the same filled rows, stacked and sorted by hour."""
-    ready = filled(rows)
-    stacked = None
-    for stage, model in models.items():
-        part = tag(score(model, ready), "model", stage)
-        stacked = part if stacked is None else stacked.unionByName(part)
-    return timeline(stacked)
+    """Each stage's forecast of the same filled rows, sorted by hour."""
+    scored, predictions = score_stages(models, filled(rows))
+    return timeline(by_stage(scored, predictions, "model").select(*rows.columns, "model", "yhat"))
 
 
 def timeline(scored: DataFrame) -> DataFrame:

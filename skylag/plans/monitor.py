@@ -4,7 +4,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 
 from skylag.operators import monitor as mon
-from skylag.operators.model import score
+from skylag.operators.model import score_stages
 from skylag.operators.profile import numeric_stats
 from skylag.operators.relations import ols
 from skylag.operators.validate import compare_stats, infer_schema, skew_check, validate
@@ -14,12 +14,9 @@ from skylag.plans.forecast import filled, forecast_input, training_input
 
 def stage_residuals(silver: DataFrame, params: Params, models: dict[str, PipelineModel]) -> DataFrame:
     """Residuals of each stage's model over the training span at the airport."""
-    ready = filled(training_input(silver, params))
-    out = None
-    for stage, model in models.items():
-        part = mon.residuals(score(model, ready), params.label, stage)
-        out = part if out is None else mon.stack_stages(out, part)
-    return out
+    rows = training_input(silver, params)
+    scored, predictions = score_stages(models, filled(rows))
+    return mon.residuals_by_stage(scored, params.label, predictions).select(*rows.columns, "stage", "yhat", "residual")
 
 
 def residual_trend(residual_rows: DataFrame) -> DataFrame:
