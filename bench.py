@@ -13,9 +13,9 @@ from checks import QUERIES
 from skylag.session import local_session
 
 HEADLINE = [
-    "weather_hourly", "join_dep_weather", "join_arr_weather", "avg_delay_temp_by_origin", "delay_by_origin",
-    "corr_matrix_dep", "feature_stats_dep", "box_origin_dep", "hist_dep_dep", "jsd_numeric", "ffill_bfill",
-    "forecast_timeline", "residual_table", "stream_weather", "linear_baseline_dep", "forecast_by_stage",
+    "weather_hourly", "join_dep_weather", "corr_matrix_dep", "feature_stats_dep", "forecast_by_stage",
+    "delay_by_origin", "profile_table", "box_origin_dep", "jsd_numeric", "ffill_bfill", "stream_weather",
+    "linear_baseline_dep",
 ]
 
 

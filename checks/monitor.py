@@ -2,10 +2,10 @@
 
 from pyspark.sql import functions as F
 
-from checks.etl import KEYED, bronze, hourly, silver
+from checks.etl import KEYED, bronze, silver
 from checks.explore import ORDER_SQL, kind_of, stats_sql
 from checks.registry import query
-from checks.sql import MEASURE_COLS, NUMERIC_COLS, SILVER_COLS, SILVER_DOUBLES, cols, ctes, r
+from checks.sql import MEASURE_COLS, NUMERIC_COLS, SILVER_COLS, cols, ctes, r
 from skylag import fixtures as fx
 from skylag.operators import flights as fl
 from skylag.operators import model as md
@@ -13,7 +13,7 @@ from skylag.operators import monitor as mon
 from skylag.operators import profile as pf
 from skylag.operators import relations
 from skylag.operators import validate as vl
-from skylag.operators.distributions import group_quantiles, hist2d
+from skylag.operators.distributions import group_quantiles
 from skylag.operators.weather import settled
 from skylag.params import Params
 from skylag.plans import forecast as fc

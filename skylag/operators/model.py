@@ -126,5 +126,3 @@ def signature(df: DataFrame, label: str) -> DataFrame:
     return present.select(F.inline(F.array(*[
         F.struct(F.lit(n).alias("name"), F.lit(t).alias("type"), F.lit(role).alias("role"), F.col(f"c{i}").alias("n"))
         for i, (n, t, role) in enumerate(fields)])))
-
-
