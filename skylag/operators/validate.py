@@ -108,13 +108,15 @@ def jsd(a: DataFrame, b: DataFrame, cols: list[str] | None = None, bins: int = 1
     """Jensen-Shannon divergence (feature, jsd), base 2, over common equal-width bins.
 
     One aggregate per table gives the joint ranges, one more the bin counts. A
-    feature without values on one side is left out.
+    feature without values on one side has no divergence and gets NULL.
     """
     cols = cols or [c for c in numeric_columns(a) if c in b.columns]
     in_a, in_b = ranges(a, cols), ranges(b, cols)
     shared = [c for c in cols if c in in_a and c in in_b]
+    undefined = a.sparkSession.createDataFrame(
+        [(c, None) for c in cols if c not in shared], "feature string, jsd double")
     if not shared:
-        return a.sparkSession.createDataFrame([], "feature string, jsd double")
+        return undefined
     bounds = {c: (min(in_a[c][0], in_b[c][0]), max(in_a[c][1], in_b[c][1])) for c in shared}
     sizes = F.create_map(*[x for c in shared for x in (F.lit(c), F.array(F.lit(in_a[c][2]), F.lit(in_b[c][2])))])
     total = F.try_element_at(sizes, F.col("feature"))
@@ -127,7 +129,7 @@ def jsd(a: DataFrame, b: DataFrame, cols: list[str] | None = None, bins: int = 1
     def part(x):
         return F.sum(F.when(F.col(x) > 0, F.col(x) * F.log2(F.col(x) / m)).otherwise(0.0))
 
-    return shares.groupBy("feature").agg(((part("p") + part("q")) / 2).alias("jsd"))
+    return shares.groupBy("feature").agg(((part("p") + part("q")) / 2).alias("jsd")).unionByName(undefined)
 
 
 # Features whose divergence is watched, and the threshold.

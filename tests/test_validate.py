@@ -28,7 +28,7 @@ def test_divergence_properties(silver_rows):
 def test_divergence_of_disjoint_and_missing_values(spark):
     a = spark.createDataFrame([(0.0, None), (1.0, None)], "x double, y double")
     b = spark.createDataFrame([(9.0, 1.0), (10.0, None)], "x double, y double")
-    assert jsd_of(a, b) == {"x": pytest.approx(1.0)}
+    assert jsd_of(a, b) == {"x": pytest.approx(1.0), "y": None}
     same = spark.createDataFrame([(3.0,)], "x double")
     assert jsd_of(same, same) == {"x": 0.0}
 
