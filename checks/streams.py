@@ -90,7 +90,7 @@ def _(spark, sf):
     return spark.read.parquet(path)
 
 
-@query("stream_once")
+@query("stream_once", f"{ctes('clean')} SELECT {cols(BRONZE_OUT, DELAYS | {'hour'})} FROM clean")
 def _(spark, sf):
     """Files taken in several batches, all in one run that ends by itself."""
     source, path = new_path(spark, "files"), new_path(spark, "once")
