@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skylag.llm import line_dedup, simhash
+from skylag.llm import decontaminate, language, line_dedup, simhash
 
 QUERIES = {}
 ORACLES = {}
@@ -30,6 +30,16 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+@query
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.predict(table(spark, sf_dir, "documents")).select("doc_id", "held_out", "lang_pred", "score")
+
+
+@query
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 ORACLES["op8_line_dedup"] = """
 WITH lines AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
