@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skylag.llm import decontaminate, language, line_dedup, packing, simhash
+from skylag.llm import decontaminate, language, line_dedup, neighbours, packing, simhash
 
 QUERIES = {}
 ORACLES = {}
@@ -29,6 +29,11 @@ def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@query
+def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 @query
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup.dedup_lines(table(spark, sf_dir, "documents"), min_docs=5, min_chars=40)
