@@ -121,9 +121,31 @@ def sliding_argmin(values: np.ndarray, width: int) -> np.ndarray:
     return np.where(use_b, block_b + (b & low).astype(np.int64), block_a + (a & low).astype(np.int64))
 
 
-def with_order_columns(df: DataFrame, like: DataFrame) -> DataFrame:
-    """The columns of ``like`` in their order."""
-    return df.select(*[F.col(f"`{c}`") for c in like.columns])
+class Bitmap:
+    """A set of 64-bit hashes as two bits each, of a fixed size; it may hold more than was put in, never less."""
+
+    BITS = 23
+
+    def __init__(self, words: np.ndarray):
+        self.words = words
+
+    def may_hold(self, hashes: np.ndarray) -> np.ndarray:
+        hashes = hashes.view(np.uint64)
+        found = np.ones(len(hashes), bool)
+        for bit in (hashes >> np.uint64(64 - self.BITS), hashes & np.uint64((1 << self.BITS) - 1)):
+            found &= (self.words[bit >> np.uint64(6)] >> (bit & np.uint64(63))) & np.uint64(1) == 1
+        return found
+
+
+def bitmap_of(hashes: DataFrame, column: str) -> Bitmap:
+    """Bitmap of a column of well-mixed longs; at most 2**BITS / 64 rows reach the driver, whatever the table holds."""
+    top, low = F.shiftrightunsigned(column, 64 - Bitmap.BITS), F.col(column).bitwiseAND((1 << Bitmap.BITS) - 1)
+    bits = hashes.where(F.col(column).isNotNull()).select(F.explode(F.array(top, low)).alias("bit"))
+    words = bits.groupBy(F.shiftright("bit", 6).alias("word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 AS int))")).alias("value")).toArrow()
+    out = np.zeros(1 << (Bitmap.BITS - 6), np.int64)
+    out[words["word"].to_numpy()] = words["value"].to_numpy()
+    return Bitmap(out.view(np.uint64))
 
 
 def covered(starts: np.ndarray, ends: np.ndarray, n: int) -> np.ndarray:

@@ -22,13 +22,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skylag.llm.common import WordHashes, mix, slices
+from skylag.llm.common import Bitmap, WordHashes, bitmap_of, mix, slices
 from skylag.session import stage
 
 MASKS = ("110111", "101001011")
 SHORTEST = 6
-#: Size of the bitmap of benchmark seeds that every task gets; fixed, whatever the benchmark holds.
-BITMAP_BITS = 23
 TOKEN = re.compile(r"\w+")
 
 
@@ -49,10 +47,6 @@ def seed_hashes(tokens: np.ndarray, mask: str) -> np.ndarray:
     return mix(out)
 
 
-def _bits(seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return (seeds >> np.uint64(64 - BITMAP_BITS)).astype(np.int64), (seeds & np.uint64((1 << BITMAP_BITS) - 1)).astype(np.int64)
-
-
 def benchmark_items(benchmark: DataFrame, item_id: str = "item_id", text: str = "text") -> DataFrame:
     """(item_id, tokens, seeds): token hashes, and for each seed its hash and place."""
 
@@ -74,25 +68,11 @@ def benchmark_items(benchmark: DataFrame, item_id: str = "item_id", text: str =
     return rows.mapInArrow(run, "item_id long, tokens array<long>, seeds array<struct<seed:long,at:int>>")
 
 
-def seed_bitmap(seeds: DataFrame) -> np.ndarray:
-    """Two bits set per seed; at most 2**BITMAP_BITS / 64 rows reach the driver."""
-    top = F.shiftrightunsigned("seed", 64 - BITMAP_BITS)
-    low = F.col("seed").bitwiseAND((1 << BITMAP_BITS) - 1)
-    bits = seeds.select(F.explode(F.array(top, low)).alias("bit"))
-    words = bits.groupBy(F.shiftright("bit", 6).alias("word")).agg(
-        F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 AS int))")).alias("value"))
-    out = np.zeros(1 << (BITMAP_BITS - 6), np.int64)
-    got = words.toArrow()
-    out[got["word"].to_numpy().astype(np.int64)] = got["value"].to_numpy()
-    return np.unpackbits(out.view(np.uint8), bitorder="little").view(bool)
-
-
-def hit_regions(docs: DataFrame, bitmap: np.ndarray, window: int, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+def hit_regions(docs: DataFrame, bitmap: Bitmap, window: int, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """Parts of documents around seeds that the bitmap knows: (doc_id, start, tokens, hits)."""
-    packed = docs.sparkSession.sparkContext.broadcast(np.packbits(bitmap, bitorder="little"))
+    known = docs.sparkSession.sparkContext.broadcast(bitmap)
 
     def run(batches):
-        known = np.unpackbits(packed.value, bitorder="little").view(bool)
         words = Tokens()
         for part in slices(batches, "text"):
             out = {"doc_id": [], "start": [], "tokens": [], "hits": []}
@@ -101,8 +81,7 @@ def hit_regions(docs: DataFrame, bitmap: np.ndarray, window: int, text: str = "t
                 found = []
                 for m in MASKS:
                     seeds = seed_hashes(tokens, m)
-                    a, b = _bits(seeds)
-                    at = np.flatnonzero(known[a] & known[b])
+                    at = np.flatnonzero(known.value.may_hold(seeds))
                     found.append((at, seeds[at]))
                 at = np.concatenate([x[0] for x in found])
                 if not len(at):
@@ -149,7 +128,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, window: int = 13, similarity
     items = stage(benchmark_items(benchmark), "items").withColumn("item", F.monotonically_increasing_id())
     items = stage(items, "items")
     seeds = items.select("item", F.explode("seeds").alias("s")).select("item", "s.seed", F.col("s.at").alias("item_at"))
-    regions = hit_regions(docs, seed_bitmap(seeds), window)
+    regions = hit_regions(docs, bitmap_of(seeds, "seed"), window)
     regions = stage(regions.withColumn("region", F.monotonically_increasing_id()), "regions")
     hits = regions.select("region", F.explode("hits").alias("h")).select("region", "h.seed", "h.at")
     shifts = hits.join(seeds, "seed").select("region", "item", (F.col("at") - F.col("item_at")).alias("shift")).distinct()

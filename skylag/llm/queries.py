@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skylag.llm import decontaminate, language, line_dedup, neighbours, packing, simhash
+from skylag.llm import decontaminate, language, line_dedup, neighbours, packing, phrase_dedup, simhash, suffix_dedup
 
 QUERIES = {}
 ORACLES = {}
@@ -29,6 +29,18 @@ def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@query
+def op4_phrase_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = phrase_dedup.dedup_phrases(table(spark, sf_dir, "documents"), window=35)
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = suffix_dedup.dedup_bytes(table(spark, sf_dir, "documents"), window=200)
+    return kept.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query
 def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
