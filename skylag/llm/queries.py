@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skylag.llm import decontaminate, language, line_dedup, neighbours, packing, phrase_dedup, simhash, suffix_dedup
+from skylag.llm import decontaminate, extract, language, line_dedup, neighbours, packing, phrase_dedup, simhash, suffix_dedup
 
 QUERIES = {}
 ORACLES = {}
@@ -18,6 +18,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 @query
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), capacity=4096)
