@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skylag.llm import decontaminate, extract, language, line_dedup, neighbours, packing, phrase_dedup, simhash, suffix_dedup
+from skylag.llm import decontaminate, extract, language, line_dedup, neighbours, ngram_lm, packing, phrase_dedup, simhash, suffix_dedup
 
 QUERIES = {}
 ORACLES = {}
@@ -40,6 +40,12 @@ def op4_phrase_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+@query
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = ngram_lm.score(table(spark, sf_dir, "documents"), ~ngram_lm.held_out())
+    return scored.withColumn("held_out", F.coalesce(ngram_lm.held_out(), F.lit(False))).drop("learned")
+
+
 @query
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = suffix_dedup.dedup_bytes(table(spark, sf_dir, "documents"), window=200)
