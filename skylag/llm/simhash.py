@@ -47,15 +47,16 @@ def fingerprint(text: bytes, shingle: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """(doc_id, fp) of every row; fp is the fingerprint's 64 bits as a long."""
+    """(doc_id, content, fp) of every row: content is a hash of the text, fp the fingerprint's 64 bits as a long."""
 
     def run(batches):
         for part in slices(batches, "text"):
             fps = np.array([fingerprint(t, shingle) for t in texts_of(part)], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(fps, pa.int64())], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays(
+                [part.column("doc_id"), part.column("content"), pa.array(fps, pa.int64())], ["doc_id", "content", "fp"])
 
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, fp long")
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(text).alias("content"), F.col(text).alias("text"))
+    return rows.mapInArrow(run, "doc_id long, content long, fp long")
 
 
 def covering_masks(radius: int) -> list[int]:
@@ -119,26 +120,26 @@ def links(distinct: DataFrame, radius: int = 3) -> DataFrame:
     return spread.groupBy("shard").applyInPandas(compare, "u long, v long")
 
 
+def grouped(docs: DataFrame, shingle: int = 3, radius: int = 3) -> DataFrame:
+    """(doc_id, content, fp, root) of every row; rows of a group share the root, a fingerprint."""
+    fps = stage(fingerprints(docs, shingle), "fingerprints")
+    roots = components(links(fps.select("fp").distinct(), radius)).withColumnRenamed("node", "fp")
+    return fps.join(roots, "fp", "left").select("doc_id", "content", "fp", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3) -> DataFrame:
     """(doc_id, fp, component_id) of every row; component_id is the smallest doc_id that links reach."""
-    fps = stage(fingerprints(docs, shingle), "fingerprints")
-    distinct = fps.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    roots = components(links(distinct.select("fp"), radius))
-    rooted = distinct.join(roots, distinct["fp"] == roots["node"], "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root"))
-    smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_fp = rooted.join(smallest, "root").select("fp", "component_id")
-    return fps.join(by_fp, "fp").select("doc_id", "fp", "component_id")
+    rows = stage(grouped(docs, shingle, radius), "groups")
+    smallest = rows.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    return rows.join(smallest, "root").select("doc_id", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, shingle: int = 3, radius: int = 3) -> DataFrame:
-    """The rows of ``docs`` whose doc_id names its group: one document of each group of near copies.
-
-    Rows with a null doc_id have no name to be kept by, so of a group made only of those all stay; of rows with equal doc_id
-    and equal values one stays.
-    """
-    groups = near_duplicates(docs, shingle, radius)
-    gone = groups.where("component_id <> doc_id OR (doc_id IS NULL AND component_id IS NOT NULL)").select(
-        F.col("doc_id").alias("_gone")).distinct()
-    kept = docs.join(gone, F.col("doc_id").cast("long").eqNullSafe(F.col("_gone")), "left_anti")
-    return kept
+    """One row of ``docs`` of each group of near copies: the one with the smallest doc_id, null ids last."""
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "content")
+    best = grouped(docs, shingle, radius).groupBy("root").agg(F.min(order).alias("b")).select(
+        F.col("b.doc_id").alias("_id"), F.col("b.content").alias("_best"))
+    keyed = docs.withColumn("_content", F.xxhash64("text"))
+    kept = keyed.join(best, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_content") == F.col("_best")), "left_semi")
+    # a row that is repeated as a whole is one document
+    return kept.dropDuplicates(["doc_id", "_content"]).drop("_content")
