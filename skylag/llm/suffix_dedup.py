@@ -234,7 +234,7 @@ def dedup_bytes(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> Data
         for part in slices(batches, "text"):
             kept, sizes, removed, gone = [], [], [], []
             texts = texts_of(part)
-            listed = [part.column(c).to_pylist() if c in part.schema.names else [None] * len(texts) for c in ("starts", "ends")]
+            listed = [part.column(c).to_pylist() if c in part.schema.names else [None] * len(texts) for c in ("_starts", "_ends")]
             for t, starts, ends in zip(texts, *listed):
                 own = merged(np.array(starts), np.array(ends)) if starts else []
                 if own:
@@ -251,7 +251,7 @@ def dedup_bytes(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> Data
 
     keyed = docs.withColumn("_uid", F.xxhash64(F.col("doc_id").cast("long"), F.col("text")))
     clear = maybe_in(keyed, spans, False, "_uid").mapInArrow(cut, schema)
-    listed = spans.select(F.col("uid").alias("_uid"), "starts", "ends").hint("shuffle_hash")
+    listed = spans.select(F.col("uid").alias("_uid"), F.col("starts").alias("_starts"), F.col("ends").alias("_ends")).hint("shuffle_hash")
     columns = [F.col(f"`{c}`") for c in (*rest, "text")]
-    held = maybe_in(keyed, spans, True, "_uid").join(listed, "_uid", "left").select(*columns, "starts", "ends").mapInArrow(cut, schema)
+    held = maybe_in(keyed, spans, True, "_uid").join(listed, "_uid", "left").select(*columns, "_starts", "_ends").mapInArrow(cut, schema)
     return clear.union(held)
