@@ -25,11 +25,10 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skylag.llm.common import WordHashes, mix, shards_of, slices, texts_of
+from skylag.llm.common import WordHashes, mix, pack, pack_sorted, shards_of, slices, small, texts_of, unpack, unpack_sorted
 from skylag.session import stage
 
 DISCOUNT = 0.9
@@ -40,32 +39,6 @@ SLICE = 4_000_000
 END = b" end"
 
 
-def pack(values: np.ndarray) -> bytes:
-    """Bytes of an array with its high bytes together, compressed."""
-    kind = {1: "B", 2: "H", 4: "I", 8: "Q"}[values.itemsize]
-    return kind.encode() + zstandard.ZstdCompressor(level=1).compress(values.view(np.uint8).reshape(len(values), -1).T.tobytes())
-
-
-def unpack(blob: bytes) -> np.ndarray:
-    kind = np.dtype({"B": np.uint8, "H": np.uint16, "I": np.uint32, "Q": np.uint64}[chr(blob[0])])
-    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob[1:]), np.uint8)
-    return np.ascontiguousarray(raw.reshape(kind.itemsize, -1).T).view(kind).reshape(-1)
-
-
-def pack_sorted(values: np.ndarray) -> bytes:
-    """An ascending 64-bit array as packed differences."""
-    return pack(np.diff(values, prepend=np.uint64(0)))
-
-
-def unpack_sorted(blob: bytes) -> np.ndarray:
-    return np.cumsum(unpack(blob), dtype=np.uint64)
-
-
-def small(values: np.ndarray) -> np.ndarray:
-    """The values in the narrowest unsigned type that holds them."""
-    return values.astype(np.min_scalar_type(int(values.max()) if len(values) else 0))
-
-
 class EliasFano:
     """An ascending sequence as low bits and a bit vector of unary coded high parts."""
 
@@ -323,8 +296,9 @@ def _bigram_codes(counted: DataFrame, shards: int, n_tokens: int) -> DataFrame:
                for b, p, i in zip(rows["batch"], parts, np.split(inverse, cuts))]
         hot = np.flatnonzero(new & split)
         out += [(None, shard, None, None, int(distinct[i] >> np.uint64(32)), int(types[own[i]])) for i in hot]
-        return pd.DataFrame(out, columns=["batch", "shard", "codes", "types", "context", "successors"]).astype(
-            {"batch": "Int64", "context": "Int64", "successors": "Int64"})
+        # numbers beside nulls would pass through floats and lose their last digits
+        names = ["batch", "shard", "codes", "types", "context", "successors"]
+        return pd.DataFrame({c: pd.array(v, "Int64") if c not in ("codes", "types") else v for c, v in zip(names, map(list, zip(*out)))})
 
     sent = counted.mapInArrow(send, "batch long, shard int, keys binary, counts binary, contexts binary, split binary")
     return sent.groupBy("shard").applyInPandas(
