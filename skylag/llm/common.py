@@ -6,6 +6,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -154,3 +155,29 @@ def covered(starts: np.ndarray, ends: np.ndarray, n: int) -> np.ndarray:
     np.add.at(delta, starts, 1)
     np.add.at(delta, ends, -1)
     return np.cumsum(delta[:-1]) > 0
+
+
+def pack(values: np.ndarray) -> bytes:
+    """Bytes of an array with its high bytes together, compressed."""
+    kind = {1: "B", 2: "H", 4: "I", 8: "Q"}[values.itemsize]
+    return kind.encode() + zstandard.ZstdCompressor(level=1).compress(values.view(np.uint8).reshape(len(values), values.itemsize).T.tobytes())
+
+
+def unpack(blob: bytes) -> np.ndarray:
+    kind = np.dtype({"B": np.uint8, "H": np.uint16, "I": np.uint32, "Q": np.uint64}[chr(blob[0])])
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob[1:]), np.uint8)
+    return np.ascontiguousarray(raw.reshape(kind.itemsize, -1).T).view(kind).reshape(-1)
+
+
+def pack_sorted(values: np.ndarray) -> bytes:
+    """An ascending 64-bit array as packed differences."""
+    return pack(np.diff(values, prepend=np.uint64(0)))
+
+
+def unpack_sorted(blob: bytes) -> np.ndarray:
+    return np.cumsum(unpack(blob), dtype=np.uint64)
+
+
+def small(values: np.ndarray) -> np.ndarray:
+    """The values in the narrowest unsigned type that holds them."""
+    return values.astype(np.min_scalar_type(int(values.max()) if len(values) else 0))
