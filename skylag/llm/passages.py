@@ -19,7 +19,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skylag.llm.common import MASK, ODD, Powers, WordHashes, bitmap_of, mix, prefix_hashes, shards_of, sliding_argmin, slices, texts_of, window_hashes
+from skylag.llm.common import (
+    MASK, ODD, Powers, WordHashes, bitmap_of, mix, pack, pack_sorted, prefix_hashes, shards_of, sliding_argmin, slices, small, texts_of, unpack,
+    unpack_sorted, window_hashes)
 from skylag.session import stage
 
 KEYED = "batch long, shard int, keys binary, counts binary"
@@ -81,27 +83,32 @@ def keyed_rows(batch: int, keys: np.ndarray, counts: np.ndarray, shards: int):
     cuts = [0, *np.searchsorted(keys, bounds).tolist(), len(keys)]
     for shard, (a, b) in enumerate(zip(cuts, cuts[1:])):
         if b > a:
-            yield batch, shard, keys[a:b].tobytes(), counts[a:b].astype(np.int32).tobytes()
+            yield batch, shard, pack_sorted(keys[a:b]), pack(small(counts[a:b]))
 
 
 def key_totals(keyed: DataFrame) -> DataFrame:
-    """(batch, totals): for each batch the corpus totals of its keys as 64-bit numbers, in the order of its sorted keys."""
+    """(batch, totals): corpus totals of each batch's keys, in the order of its sorted keys, and which of them it has first.
+
+    Of all batches that sent a key, one has it first.
+    """
 
     def add(rows: pd.DataFrame) -> pd.DataFrame:
-        sizes = rows["keys"].map(len).to_numpy() // 8
-        keys = np.frombuffer(b"".join(rows["keys"]), np.uint64)
-        _, inverse = np.unique(keys, return_inverse=True)
-        counts = np.frombuffer(b"".join(rows["counts"]), np.int32)
-        totals = np.bincount(inverse, weights=counts).astype(np.int64)[inverse]
-        parts = np.split(totals, np.cumsum(sizes)[:-1])
-        return pd.DataFrame({"batch": rows["batch"], "shard": rows["shard"], "totals": [p.tobytes() for p in parts]})
+        parts = [unpack_sorted(k) for k in rows["keys"]]
+        _, index, inverse = np.unique(np.concatenate(parts), return_index=True, return_inverse=True)
+        totals = np.bincount(inverse, weights=np.concatenate([unpack(c) for c in rows["counts"]])).astype(np.int64)[inverse]
+        first = np.zeros(len(inverse), np.uint8)
+        first[index] = 1
+        cuts = np.cumsum([len(p) for p in parts])[:-1]
+        return pd.DataFrame({
+            "batch": rows["batch"], "shard": rows["shard"], "totals": [pack(small(x)) for x in np.split(totals, cuts)],
+            "first": [pack(x) for x in np.split(first, cuts)]})
 
-    back = keyed.groupBy("shard").applyInPandas(add, "batch long, shard int, totals binary")
-    return back.groupBy("batch").agg(F.sort_array(F.collect_list(F.struct("shard", "totals"))).alias("totals"))
+    back = keyed.groupBy("shard").applyInPandas(add, "batch long, shard int, totals binary, first binary")
+    return back.groupBy("batch").agg(F.sort_array(F.collect_list(F.struct("shard", "totals", "first"))).alias("totals"))
 
 
-def _blob(x: np.ndarray, dtype) -> bytes:
-    return x.astype(dtype).tobytes()
+def _joined(answers: list[dict], column: str) -> np.ndarray:
+    return np.concatenate([unpack(a[column]).astype(np.int64) for a in answers])
 
 
 def with_uid(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -130,8 +137,7 @@ def _unit_table(texts: DataFrame, scheme, window: int, gram: int, shards: int) -
             keys, inverse, counts = np.unique(np.concatenate([units.gram, units.whole]), return_inverse=True, return_counts=True)
             batch = secrets.randbits(63)
             own = part.column("uid").to_numpy()[units.doc]
-            info = [own.tobytes(), _blob(units.lo, np.int32), _blob(units.n, np.int16), _blob(units.at, np.int16),
-                    _blob(inverse[: len(own)], np.int32), _blob(inverse[len(own) :], np.int32)]
+            info = [pack(x) for x in (own, *map(small, (units.lo, units.n, units.at, inverse[: len(own)], inverse[len(own) :])))]
             rows = [(batch, -1, None, None, *info)] + [(*r, *[None] * 6) for r in keyed_rows(batch, keys, counts, shards)]
             types = [pa.int64(), pa.int32(), *[pa.binary()] * 8]
             yield pa.RecordBatch.from_arrays(
@@ -154,20 +160,26 @@ PLACES = "lo array<int>, n array<int>, at array<int>"
 
 
 def _settle(batches):
-    """For each document: units whose values recur (kind 0) and units whose windows must be counted (kind 1)."""
+    """For each document: units whose values recur (kind 0) and units whose windows must be counted (kind 1).
+
+    Of units with the same values the windows are counted once, for all others that share some of them.
+    """
     for part in batches:
         for row in part.to_pylist():
-            total = np.frombuffer(b"".join(t["totals"] for t in row["totals"]), np.int64)
-            uid = np.frombuffer(row["uids"], np.int64)
-            lo, n, at = (np.frombuffer(row[c], t).astype(np.int32) for c, t in (("lo", np.int32), ("n", np.int16), ("at", np.int16)))
-            gram, whole = (total[np.frombuffer(row[c], np.int32)] for c in ("gram", "whole"))
-            for kind, which in enumerate((whole >= 2, gram > whole)):
+            total, first = _joined(row["totals"], "totals"), _joined(row["totals"], "first")
+            uid = unpack(row["uids"]).view(np.int64)
+            lo, n, at, gram, whole = (unpack(row[c]).astype(np.int64) for c in ("lo", "n", "at", "gram", "whole"))
+            leads = np.zeros(len(uid), bool)
+            leads[np.unique(whole, return_index=True)[1]] = True
+            leads &= first[whole] == 1
+            gram, whole = total[gram], total[whole]
+            for kind, which in enumerate((whole >= 2, (gram > whole) & leads)):
                 out = _lists(uid[which], {"lo": lo[which], "n": n[which], "at": at[which]})
                 yield _place_batch(out, kind)
 
 
 def _place_batch(out: dict, kind: int) -> pa.RecordBatch:
-    lists = [pa.array(out[c], pa.list_(pa.int32())) for c in ("lo", "n", "at")]
+    lists = [pa.array([x.astype(np.int32) for x in out[c]], pa.list_(pa.int32())) for c in ("lo", "n", "at")]
     return pa.RecordBatch.from_arrays(
         [pa.array(out["uid"], pa.int64()), pa.array(np.full(len(out["uid"]), kind, np.int32)), *lists], ["uid", "kind", "lo", "n", "at"])
 
@@ -178,42 +190,42 @@ def _window_table(joined: DataFrame, scheme, window: int, shards: int) -> DataFr
     def run(batches):
         reader, powers = scheme(), Powers()
         for part in slices(batches, "text"):
-            uid, start, at, hashes = [], [], [], []
+            uid, places, hashes = [], [], []
             for i, t in enumerate(texts_of(part)):
-                lo, n, place = (part.column(c)[i].values.to_numpy() for c in ("lo", "n", "at"))
+                lo, n, at = (part.column(c)[i].values.to_numpy() for c in ("lo", "n", "at"))
                 own = np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
                 hashes.append(mix(window_hashes(prefix_hashes(reader.values(t), powers), window, powers)[own]))
-                uid.append(np.full(len(own), part.column("uid")[i].as_py(), np.int64))
-                start.append(own)
-                at.append(np.repeat(lo + place, n))
+                uid.append(np.full(len(lo), part.column("uid")[i].as_py(), np.int64))
+                places.append((lo, n, at))
             keys, inverse, counts = np.unique(np.concatenate(hashes), return_inverse=True, return_counts=True)
             batch = secrets.randbits(63)
-            info = [np.concatenate(uid).tobytes(), _blob(np.concatenate(start), np.int32), _blob(np.concatenate(at), np.int32),
-                    _blob(inverse, np.int32)]
-            rows = [(batch, -1, None, None, *info)] + [(*r, *[None] * 4) for r in keyed_rows(batch, keys, counts, shards)]
-            types = [pa.int64(), pa.int32(), *[pa.binary()] * 6]
+            info = [pack(x) for x in (np.concatenate(uid), *(small(np.concatenate(x)) for x in zip(*places)), small(inverse))]
+            rows = [(batch, -1, None, None, *info)] + [(*r, *[None] * 5) for r in keyed_rows(batch, keys, counts, shards)]
+            types = [pa.int64(), pa.int32(), *[pa.binary()] * 7]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(zip(*rows), types)],
-                ["batch", "shard", "keys", "counts", "uids", "start", "at", "key"])
+                ["batch", "shard", "keys", "counts", "uids", "lo", "n", "at", "key"])
 
-    return joined.mapInArrow(run, KEYED + ", uids binary, start binary, at binary, key binary")
+    return joined.mapInArrow(run, KEYED + ", uids binary, lo binary, n binary, at binary, key binary")
 
 
 def _runs(batches):
     """Runs of counted windows that recur, cut where the anchor changes."""
     for part in batches:
         for row in part.to_pylist():
-            total = np.frombuffer(b"".join(t["totals"] for t in row["totals"]), np.int64)
-            uid = np.frombuffer(row["uids"], np.int64)
-            start, at, key = (np.frombuffer(row[c], np.int32) for c in ("start", "at", "key"))
-            which = total[key] >= 2
-            uid, start, at = uid[which], start[which], at[which]
-            new = np.ones(len(uid), bool)
-            new[1:] = (uid[1:] != uid[:-1]) | (start[1:] != start[:-1] + 1) | (at[1:] != at[:-1])
+            total = _joined(row["totals"], "totals")
+            unit_uid = unpack(row["uids"]).view(np.int64)
+            lo, n, at = (unpack(row[c]).astype(np.int64) for c in ("lo", "n", "at"))
+            unit = np.repeat(np.arange(len(n)), n)
+            step = np.arange(len(unit)) - np.repeat(np.cumsum(n) - n, n)
+            which = total[unpack(row["key"])] >= 2
+            unit, step = unit[which], step[which]
+            new = np.ones(len(unit), bool)
+            new[1:] = (unit[1:] != unit[:-1]) | (step[1:] != step[:-1] + 1)
             first = np.flatnonzero(new)
-            n = np.diff(np.append(first, len(uid))).astype(np.int32)
-            lo = start[first]
-            yield _place_batch(_lists(uid[first], {"lo": lo, "n": n, "at": at[first] - lo}), 0)
+            size = np.diff(np.append(first, len(unit)))
+            unit, step = unit[first], step[first]
+            yield _place_batch(_lists(unit_uid[unit], {"lo": lo[unit] + step, "n": size, "at": at[unit] - step}), 0)
 
 
 def recurring(docs: DataFrame, scheme, window: int, gram: int, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -227,15 +239,14 @@ def recurring(docs: DataFrame, scheme, window: int, gram: int, text: str = "text
     units = stage(_unit_table(texts, scheme, window, gram, shards), "units")
     totals = key_totals(units.where("shard >= 0").select("batch", "shard", "keys", "counts"))
     own = units.where("shard = -1").select("batch", "uids", "lo", "n", "at", "gram", "whole")
-    # rows that repeat a document give its units again
-    settled = stage(own.join(totals, "batch").mapInArrow(_settle, f"uid long, kind int, {PLACES}")
-                    .dropDuplicates(["uid", "kind"]), "settled")
-    open_units = settled.where("kind = 1").drop("kind")
+    settled = stage(own.join(totals, "batch").mapInArrow(_settle, f"uid long, kind int, {PLACES}"), "settled")
+    flat = [F.flatten(F.collect_list(c)).alias(c) for c in ("lo", "n", "at")]
+    open_units = settled.where("kind = 1").groupBy("uid").agg(*flat)
     joined = maybe_in(texts, open_units).join(open_units.hint("shuffle_hash"), "uid")
     windows = stage(_window_table(joined, scheme, window, shards), "windows")
     totals = key_totals(windows.where("shard >= 0").select("batch", "shard", "keys", "counts"))
-    own = windows.where("shard = -1").select("batch", "uids", "start", "at", "key")
+    own = windows.where("shard = -1").select("batch", "uids", "lo", "n", "at", "key")
     runs = own.join(totals, "batch").mapInArrow(_runs, f"uid long, kind int, {PLACES}").dropDuplicates(["uid"])
-    found = settled.where("kind = 0").union(runs).groupBy("uid").agg(
-        *[F.flatten(F.collect_list(c)).alias(c) for c in ("lo", "n", "at")])
+    # rows that repeat a document give its units again
+    found = settled.where("kind = 0").dropDuplicates(["uid"]).union(runs).groupBy("uid").agg(*flat)
     return stage(found, "passages")
