@@ -25,11 +25,13 @@ def value_counts(df: DataFrame, cols: list[str], by: list[str] = ()) -> DataFram
     return df.select(*by, F.inline(pairs)).groupBy(*by, "feature", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
-def ranges(df: DataFrame, cols: list[str]) -> dict[str, tuple[float, float, int]]:
-    """(smallest, largest, number of values) per column in one aggregate; columns without values are left out.
+def widened(lo: float, hi: float) -> tuple[float, float]:
+    """A range of one around a single value, so bins have a width."""
+    return (lo - 0.5, hi + 0.5) if lo == hi else (lo, hi)
 
-    A single value gets a range of one around it, so bins have a width.
-    """
+
+def ranges(df: DataFrame, cols: list[str], widen: bool = True) -> dict[str, tuple[float, float, int]]:
+    """(smallest, largest, number of values) per column in one aggregate; columns without values are left out."""
     asked = [f(F.col(c).cast("double")).alias(f"{k}{i}")
              for i, c in enumerate(cols) for k, f in (("lo", F.min), ("hi", F.max), ("n", F.count))]
     row = df.agg(*asked).first()
@@ -37,7 +39,7 @@ def ranges(df: DataFrame, cols: list[str]) -> dict[str, tuple[float, float, int]
     for i, c in enumerate(cols):
         lo, hi = row[f"lo{i}"], row[f"hi{i}"]
         if lo is not None:
-            out[c] = (lo - 0.5, hi + 0.5, row[f"n{i}"]) if lo == hi else (lo, hi, row[f"n{i}"])
+            out[c] = (*(widened(lo, hi) if widen else (lo, hi)), row[f"n{i}"])
     return out
 
 

@@ -3,12 +3,8 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skylag.operators.distributions import bin_of, ranges
+from skylag.operators.distributions import bin_of, ranges, widened
 from skylag.operators.profile import feature_types, numeric_columns, text_columns, text_counts
-from skylag.session import stage
-
-# Text columns with more values than this get no domain.
-DOMAIN_LIMIT = 100
 
 
 def presence(df: DataFrame) -> DataFrame:
@@ -23,32 +19,26 @@ def presence(df: DataFrame) -> DataFrame:
     return wide.select(F.inline(rows))
 
 
-def domains(df: DataFrame, limit: int = DOMAIN_LIMIT) -> DataFrame:
-    """Sorted values (feature, domain) of text columns with at most ``limit`` of them.
-
-    Columns over the limit are dropped before any value list is built, so a
-    list never exceeds the limit.
-    """
+def domains(df: DataFrame) -> DataFrame:
+    """Every value (feature, value) of every text column, however many there are."""
     texts = text_columns(df)
     if not texts:
-        return df.sparkSession.createDataFrame([], "feature string, domain array<string>")
-    values = stage(text_counts(df, texts).where(F.col("text").isNotNull()), "texts")
-    few = values.groupBy("feature").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") <= limit)
-    return values.join(F.broadcast(few), "feature", "left_semi").groupBy("feature").agg(
-        F.array_sort(F.collect_set("text")).alias("domain"))
+        return df.sparkSession.createDataFrame([], "feature string, value string")
+    return text_counts(df, texts).where(F.col("text").isNotNull()).select("feature", F.col("text").alias("value"))
 
 
-def infer_schema(df: DataFrame, limit: int = DOMAIN_LIMIT) -> DataFrame:
-    """Per column: type, required or optional, share of rows present, domain."""
+def infer_schema(df: DataFrame) -> DataFrame:
+    """Per column: type, required or optional, share of rows present, number of values of a text column."""
     share = F.try_divide(F.col("n") - F.col("missing"), F.col("n"))
-    return presence(df).join(F.broadcast(domains(df, limit)), "feature", "left").select(
+    sizes = domains(df).groupBy("feature").agg(F.count(F.lit(1)).alias("n_values"))
+    return presence(df).join(sizes, "feature", "left").select(
         "feature", "type",
         F.when(F.col("missing") == 0, "required").otherwise("optional").alias("presence"),
-        share.alias("min_fraction"), "domain")
+        share.alias("min_fraction"), "n_values")
 
 
-def validate(df: DataFrame, schema: DataFrame) -> DataFrame:
-    """Anomalies (feature, anomaly, detail, share) of a table against an inferred schema."""
+def validate(df: DataFrame, schema: DataFrame, known: DataFrame) -> DataFrame:
+    """Anomalies (feature, anomaly, detail, share) of a table against an inferred schema and its domains."""
     seen = presence(df).withColumn("fraction", F.try_divide(F.col("n") - F.col("missing"), F.col("n")))
     both = schema.withColumnRenamed("type", "expected").join(seen, "feature", "full")
     found = F.array_compact(F.array(
@@ -64,21 +54,26 @@ def validate(df: DataFrame, schema: DataFrame) -> DataFrame:
             (1 - F.col("fraction")).alias("share"))),
     ))
     structural = both.select("feature", F.inline(found))
-    return structural.unionByName(out_of_domain(df, schema))
+    return structural.unionByName(out_of_domain(df, known))
 
 
-def out_of_domain(df: DataFrame, schema: DataFrame) -> DataFrame:
-    """Text columns holding values their domain lacks, with the share of such rows."""
+def out_of_domain(df: DataFrame, known: DataFrame) -> DataFrame:
+    """Text columns holding values that ``known`` lacks, with the share of such rows.
+
+    Columns are counted down to their values before the join; a column that ``known`` has nothing of is not judged.
+    """
     texts = text_columns(df)
     if not texts:
         return df.sparkSession.createDataFrame([], "feature string, anomaly string, detail string, share double")
-    known = F.broadcast(schema.where(F.col("domain").isNotNull()).select("feature", "domain"))
-    values = text_counts(df, texts).where(F.col("text").isNotNull()).join(known, "feature")
-    strange = ~F.array_contains("domain", F.col("text"))
-    return values.groupBy("feature").agg(
+    values = text_counts(df, texts).where(F.col("text").isNotNull())
+    found = values.join(
+        known.select("feature", F.col("value").alias("text"), F.lit(True).alias("_known")), ["feature", "text"], "left")
+    strange = F.col("_known").isNull()
+    judged = known.select("feature").distinct()
+    return found.groupBy("feature").agg(
         F.sum(strange.cast("int")).alias("k"), F.sum(F.when(strange, F.col("n")).otherwise(0)).alias("bad"),
         F.sum("n").alias("n"),
-    ).where(F.col("k") > 0).select(
+    ).where(F.col("k") > 0).join(judged, "feature", "left_semi").select(
         "feature", F.lit("out_of_domain").alias("anomaly"),
         F.concat(F.col("k").cast("string"), F.lit(" values")).alias("detail"),
         (F.col("bad") / F.col("n")).alias("share"))
@@ -111,13 +106,13 @@ def jsd(a: DataFrame, b: DataFrame, cols: list[str] | None = None, bins: int = 1
     feature without values on one side has no divergence and gets NULL.
     """
     cols = cols or [c for c in numeric_columns(a) if c in b.columns]
-    in_a, in_b = ranges(a, cols), ranges(b, cols)
+    in_a, in_b = ranges(a, cols, widen=False), ranges(b, cols, widen=False)
     shared = [c for c in cols if c in in_a and c in in_b]
     undefined = a.sparkSession.createDataFrame(
         [(c, None) for c in cols if c not in shared], "feature string, jsd double")
     if not shared:
         return undefined
-    bounds = {c: (min(in_a[c][0], in_b[c][0]), max(in_a[c][1], in_b[c][1])) for c in shared}
+    bounds = {c: widened(min(in_a[c][0], in_b[c][0]), max(in_a[c][1], in_b[c][1])) for c in shared}
     sizes = F.create_map(*[x for c in shared for x in (F.lit(c), F.array(F.lit(in_a[c][2]), F.lit(in_b[c][2])))])
     total = F.try_element_at(sizes, F.col("feature"))
     counts = _bin_counts(a, bounds, bins, "na").join(_bin_counts(b, bounds, bins, "nb"), ["feature", "bin"], "full")

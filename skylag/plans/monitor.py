@@ -7,7 +7,7 @@ from skylag.operators import monitor as mon
 from skylag.operators.model import score_stages
 from skylag.operators.profile import numeric_stats
 from skylag.operators.relations import ols
-from skylag.operators.validate import compare_stats, infer_schema, skew_check, validate
+from skylag.operators.validate import compare_stats, domains, infer_schema, skew_check, validate
 from skylag.params import Params
 from skylag.plans.forecast import filled, forecast_input, training_input
 
@@ -31,6 +31,6 @@ def data_checks(silver: DataFrame, params: Params) -> dict[str, DataFrame]:
     return {
         "statistics": compare_stats(numeric_stats(serve), numeric_stats(train), ("serve", "train")),
         "schema": schema,
-        "anomalies": validate(serve, schema),
+        "anomalies": validate(serve, schema, domains(train)),
         "skew": skew_check(train, serve),
     }

@@ -40,13 +40,25 @@ def test_threshold_zero_fires_on_any_difference(silver_rows):
 
 
 def test_validation_of_identical_data_is_silent(silver_rows):
-    assert vl.validate(silver_rows, vl.infer_schema(silver_rows)).count() == 0
+    assert vl.validate(silver_rows, vl.infer_schema(silver_rows), vl.domains(silver_rows)).count() == 0
 
 
-def test_domain_limit(spark):
-    df = spark.createDataFrame([(f"v{i}", f"w{i % 3}") for i in range(20)], "many string, few string")
-    got = {r.feature: r.domain for r in vl.infer_schema(df, limit=5).collect()}
-    assert got == {"many": None, "few": ["w0", "w1", "w2"]}
+def test_domains_have_no_limit(spark):
+    df = spark.createDataFrame([(f"v{i}", f"w{i % 3}") for i in range(300)], "many string, few string")
+    assert {r.feature: r.n_values for r in vl.infer_schema(df).collect()} == {"many": 300, "few": 3}
+    served = spark.createDataFrame([("v7", "w1"), ("zzz", "w2")], "many string, few string")
+    found = vl.validate(served, vl.infer_schema(df), vl.domains(df)).collect()
+    assert [(r.feature, r.anomaly, r.detail, r.share) for r in found] == [("many", "out_of_domain", "1 values", 0.5)]
+
+
+def test_divergence_with_a_constant_side(spark):
+    a = spark.createDataFrame([(float(i),) for i in range(1, 13)], "x double")
+    b = spark.createDataFrame([(12.0,)] * 3, "x double")
+    p = np.histogram(range(1, 13), 10, (1, 12))[0] / 12
+    q = np.histogram([12] * 3, 10, (1, 12))[0] / 3
+    m = (p + q) / 2
+    want = sum((x[x > 0] * np.log2(x[x > 0] / m[x > 0])).sum() for x in (p, q)) / 2
+    assert jsd_of(a, b)["x"] == pytest.approx(want) == jsd_of(b, a)["x"]
 
 
 @pytest.mark.parametrize("rows", [60, 10**6])
@@ -115,4 +127,11 @@ def test_schema_round(spark):
     moved = schema.migrate_schema(df, target)
     assert moved.columns == ["a", "b", "c"] and [r.a for r in moved.collect()] == [1, None]
     assert schema.validate_schema(df, df.schema).count() == 0
+    assert "d" in schema.migrate_schema(df, target, keep_extra=True).columns
+    assert [tuple(r) for r in schema.rejected_values(df, target, ["d"]).collect()] == [(4, "a", "x")]
+    wide = spark.createDataFrame([(2**40,)], "a long")
+    with pytest.raises(ValueError, match="narrowed: a"):
+        schema.migrate_schema(wide, target)
+    assert schema.migrate_schema(wide, target, allow=["a"]).first().a is None
+    assert [r.raw for r in schema.rejected_values(wide, target, []).collect()] == [str(2**40)]
     assert MEASURE_COLS == vl.numeric_columns(spark.createDataFrame([], ", ".join(f"{c} double" for c in MEASURE_COLS)))
