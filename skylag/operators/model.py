@@ -32,8 +32,12 @@ def feature_frame(df: DataFrame, label: str, cast_int: bool = False, keep: list[
 
 def training_frame(df: DataFrame, label: str, leak_free: bool = False) -> DataFrame:
     """Label and features without empty columns and without rows that miss anything."""
-    labelled = require(df, *DELAYS).select(label, *feature_names(label, leak_free))
-    return drop_null_columns(labelled).na.drop()
+    return drop_null_columns(labelled(df, label, leak_free)).na.drop()
+
+
+def labelled(df: DataFrame, label: str, leak_free: bool = False) -> DataFrame:
+    """Rows with both delays: the label and the features."""
+    return require(df, *DELAYS).select(label, *feature_names(label, leak_free))
 
 
 def assembler(features: list[str], out: str = "rawFeatures") -> VectorAssembler:
@@ -88,7 +92,9 @@ def score(model: PipelineModel, df: DataFrame, out: str = "yhat") -> DataFrame:
     """The frame with the model's prediction; nothing is collected."""
     scored = model.transform(df)
     helpers = [c for c in scored.columns if c not in df.columns and c != "prediction"]
-    return scored.withColumnRenamed("prediction", out).drop(*helpers)
+    # a row that misses a feature a linear model needs has no prediction
+    present = F.when(~F.isnan("prediction"), F.col("prediction"))
+    return scored.withColumn("prediction", present).withColumnRenamed("prediction", out).drop(*helpers)
 
 
 def score_stages(models: dict[str, PipelineModel], df: DataFrame) -> tuple[DataFrame, dict[str, Column]]:
@@ -106,7 +112,7 @@ def prediction_view(scored: DataFrame, label: str, features: list[str], predicti
 def metrics(df: DataFrame, label: str, prediction: str = "yhat", by: list[str] = ()) -> DataFrame:
     """RMSE, explained variance and r2 in one aggregate."""
     y, p = F.col(label), F.col(prediction)
-    both = df.where(y.isNotNull() & p.isNotNull())
+    both = df.where(y.isNotNull() & p.isNotNull() & ~F.isnan(y.cast("double")) & ~F.isnan(p.cast("double")))
     square: Column = F.pow(y - p, 2)
     return both.groupBy(*by).agg(
         F.sqrt(F.avg(square)).alias("rmse"),

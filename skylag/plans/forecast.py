@@ -1,36 +1,41 @@
 """Forecast inputs, forecasts by stage and the 24-hour view of an airport."""
 
+import math
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skylag.functions.times import with_rollover
-from skylag.operators.flights import KEY, at_origin, between_closed
+from skylag.operators.flights import KEY, at_origin
 from skylag.operators.model import score_stages
 from skylag.operators.monitor import by_stage
 from skylag.operators.ordered import ROWS_PER_CHUNK, fill_both
 from skylag.operators.silver import SILVER_COLUMNS
 from skylag.params import Params
+from skylag.sources.tables import between_dates
 
 
 def forecast_input(silver: DataFrame, params: Params, inclusive_start: bool = True) -> DataFrame:
     """Silver rows at the airport from the training end to the inference date."""
-    rows = between_closed(at_origin(silver, params.airport_id), "FL_DATE", params.training_end, params.inference_date)
+    rows = between_dates(at_origin(silver, params.airport_id), params.training_end, params.inference_date)
     return rows if inclusive_start else rows.where(F.col("FL_DATE") > F.lit(params.training_end))
 
 
 def training_input(silver: DataFrame, params: Params) -> DataFrame:
-    return between_closed(at_origin(silver, params.airport_id), "FL_DATE", params.training_start, params.training_end)
+    return between_dates(at_origin(silver, params.airport_id), params.training_start, params.training_end)
 
 
-def time_order() -> list:
-    return [F.asc_nulls_last("FL_DATE"), F.asc_nulls_last("hour"), F.asc_nulls_last(KEY)]
+def time_order(rows: DataFrame) -> list:
+    """Date, hour, then the row key if there is one, else all other columns."""
+    rest = [KEY] if KEY in rows.columns else [c for c in rows.columns if c not in ("FL_DATE", "hour")]
+    return [F.asc_nulls_last(c) for c in ("FL_DATE", "hour", *rest)]
 
 
 def filled(rows: DataFrame, chunk_rows: int = ROWS_PER_CHUNK) -> DataFrame:
     """Forward then backward fill in time order over all columns that may be missing."""
     cols = [c for c in SILVER_COLUMNS if c != "FL_DATE" and c in rows.columns and not c.endswith("AIRPORT_ID")]
-    return fill_both(rows, cols, time_order(), ["ORIGIN_AIRPORT_ID"], chunk_rows)
+    return fill_both(rows, cols, time_order(rows), ["ORIGIN_AIRPORT_ID"], chunk_rows)
 
 
 def forecast_by_stage(models: dict[str, PipelineModel], rows: DataFrame) -> DataFrame:
@@ -40,7 +45,7 @@ def forecast_by_stage(models: dict[str, PipelineModel], rows: DataFrame) -> Data
 
 
 def timeline(scored: DataFrame) -> DataFrame:
-    return scored.orderBy(F.asc_nulls_last("hour"), "model", KEY)
+    return scored.orderBy(F.asc_nulls_last("hour"), "model", *([KEY] if KEY in scored.columns else ["FL_DATE"]))
 
 
 def with_times(flights: DataFrame) -> DataFrame:
@@ -78,10 +83,19 @@ def next_hours(flights: DataFrame, airport: str, mark: str, hours: int = 24) ->
 
 
 def in_flight(flights: DataFrame, airport: str, mark: str) -> DataFrame:
-    """Inbound flights that have left and are not yet due, with their duration in minutes."""
+    """Inbound flights that have left and have not arrived, with their duration in minutes.
+
+    A flight whose arrival delay is not known is taken to arrive on time. The dates read follow from the earliest
+    departure and the latest arrival among all delays, so no flight is lost.
+    """
     now = F.lit(mark).cast("timestamp_ntz")
-    inbound = with_times(_near(flights, now, 2, 0)).where(F.col("DEST") == airport)
+    bound = flights.where(F.col("DEST") == airport)
+    early, late = bound.agg(F.min("DEP_DELAY"), F.max("ARR_DELAY")).first()
+    # an arrival is scheduled at most a day after its departure, which is within a day of the flight's date
+    days = 2 + math.ceil(max(0, late or 0) / 1440)
+    near = _near(bound, now, days, math.ceil(max(0, -(early or 0)) / 60) + 1)
     left = F.col("sched_dep") + F.make_dt_interval(mins=F.col("DEP_DELAY").cast("int"))
+    arrives = F.col("sched_arr") + F.make_dt_interval(mins=F.coalesce(F.col("ARR_DELAY"), F.lit(0)).cast("int"))
     planned = F.timestamp_diff("MINUTE", F.col("sched_dep"), F.col("sched_arr"))
-    return inbound.where((left < now) & (F.col("sched_arr") >= now)).withColumn(
+    return with_times(near).where((left < now) & (arrives >= now)).withColumn(
         "duration_min", planned + F.col("ARR_DELAY") - F.col("DEP_DELAY"))

@@ -1,5 +1,7 @@
 """Reading, writing and registering stored tables."""
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,18 +32,20 @@ def save(df: DataFrame, path: str, mode: str = "append", partition_by: list[str]
 
 
 def save_idempotent(df: DataFrame, path: str, partition_by: list[str]) -> str:
-    """Replace just the partitions ``df`` holds, so a rerun leaves the same table."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path))
+    """Replace the whole table, so a rerun leaves just what ``df`` holds, partitions without rows any more included."""
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*partition_by).parquet(path))
     return path
 
 
 def save_by_month(df: DataFrame, path: str) -> str:
-    """Table partitioned by year and month, rewritten idempotently.
+    """A new version of a table partitioned by year and month, in a folder of its own below ``path``.
 
-    Rebalancing by month merges small months into few files and splits a hot
-    month over several writers, whatever its rows look like.
+    Readers of earlier versions are not disturbed, a month without rows any more leaves nothing behind, and a
+    crash leaves the earlier version as it was. Rebalancing by month merges small months into few files
+    and splits a hot month over several writers, whatever its rows look like.
     """
-    return save_idempotent(df.hint("rebalance", "YEAR", "MONTH"), path, ["YEAR", "MONTH"])
+    version = f"{path}/version-{uuid.uuid4().hex}"
+    return save(df.hint("rebalance", "YEAR", "MONTH"), version, "errorifexists", ["YEAR", "MONTH"])
 
 
 def between_months(df: DataFrame, lo, hi) -> DataFrame:
@@ -53,6 +57,13 @@ def between_months(df: DataFrame, lo, hi) -> DataFrame:
             F.year(lo_d) * 12 + F.month(lo_d), F.year(hi_d) * 12 + F.month(hi_d)))
 
 
+def between_dates(df: DataFrame, lo, hi) -> DataFrame:
+    """Closed FL_DATE range; where the table has year and month, partitions outside it are not read."""
+    if {"YEAR", "MONTH"} <= set(df.columns):
+        return between_months(df, lo, hi)
+    return df.where(F.col("FL_DATE").between(F.lit(lo).cast("date"), F.lit(hi).cast("date")))
+
+
 def ensure_db(spark: SparkSession, name: str, location: str | None = None) -> str:
     """Create a database when it is missing and make it current."""
     where = f" LOCATION '{location}'" if location else ""
