@@ -4,6 +4,7 @@ One writer at a time is assumed. Every change is one append, and the current
 state is always derived from the rows.
 """
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +17,8 @@ NONE, STAGING, PRODUCTION, ARCHIVED = "None", "Staging", "Production", "Archived
 
 
 def save_model(model: PipelineModel, path: str) -> str:
-    model.write().overwrite().save(path)
+    """Write a model once; a path that exists is an error, so a registered version never changes."""
+    model.write().save(path)
     return path
 
 
@@ -56,12 +58,15 @@ def dataset_fingerprint(df: DataFrame, date_col: str = "FL_DATE") -> DataFrame:
 def register_versions(versions: DataFrame, runs: DataFrame, rows: int = ROWS_PER_CHUNK) -> DataFrame:
     """Version rows (name, version, run_id, ts) to append for new runs (name, run_id, ts).
 
-    Numbers go on from each name's highest version in the order of the runs.
+    Numbers go on from each name's highest version in the order of the runs;
+    a run that is registered already gets no second version.
     """
     latest = versions.groupBy("name").agg(F.max("version").alias("latest"))
-    numbered = row_index(runs, [F.asc("ts"), F.asc("run_id")], ["name"], "place", rows)
+    new = runs.join(versions.select("name", "run_id"), ["name", "run_id"], "left_anti")
+    numbered = row_index(new, [F.asc("ts"), F.asc("run_id")], ["name"], "place", rows)
+    carried = ["path"] if "path" in runs.columns else []
     return numbered.join(latest, "name", "left").select(
-        "name", (F.coalesce("latest", F.lit(0)) + F.col("place") + 1).cast("int").alias("version"), "run_id", "ts")
+        "name", (F.coalesce("latest", F.lit(0)) + F.col("place") + 1).cast("int").alias("version"), "run_id", "ts", *carried)
 
 
 def current_stages(transitions: DataFrame) -> DataFrame:
@@ -91,8 +96,13 @@ def promotion_rows(
     live = version_in_stage(transitions, PRODUCTION, production_name).select(
         F.col("name").alias("live_name"), F.col("version").alias("old_version"))
     if staging_name is not None and production_name is not None:
-        # At most one row on each side.
-        pairs = ready.withColumn("one", F.lit(1)).join(live.withColumn("one", F.lit(1)), "one")
+        both = ready.select("name", F.col("new_version").alias("version"), F.lit(True).alias("new")).union(
+            live.select("live_name", "old_version", F.lit(False)))
+        pairs = both.agg(*[
+            F.max(F.when(side, F.col(c))).alias(out) for side, names in (
+                (F.col("new"), {"name": "name", "version": "new_version"}),
+                (~F.col("new"), {"name": "live_name", "version": "old_version"})) for c, out in names.items()
+        ]).where(F.col("name").isNotNull() & F.col("live_name").isNotNull())
     else:
         pairs = ready.join(live, F.col("name") == F.col("live_name"))
     moves = F.array(
@@ -108,11 +118,50 @@ def promote(spark: SparkSession, path: str, at: str, asked: bool, staging_name=N
         rows.write.mode("append").parquet(path)
 
 
-VERSION_SCHEMA = "name string, version int, run_id string, ts timestamp_ntz"
+VERSION_SCHEMA = "name string, version int, run_id string, ts timestamp_ntz, path string"
+STAGE_SCHEMA = "name string, version int, stage string, ts timestamp_ntz"
+
+
+def _read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A table that may not have been written yet."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
 
 
 def read_versions(spark: SparkSession, path: str) -> DataFrame:
     """All registered versions; an empty table before the first one."""
-    location = spark._jvm.org.apache.hadoop.fs.Path(path)
-    exists = location.getFileSystem(spark._jsc.hadoopConfiguration()).exists(location)
-    return spark.read.schema(VERSION_SCHEMA).parquet(path) if exists else spark.createDataFrame([], VERSION_SCHEMA)
+    return _read_or_empty(spark, path, VERSION_SCHEMA)
+
+
+def read_transitions(spark: SparkSession, path: str) -> DataFrame:
+    """All stage transitions; an empty table before the first one."""
+    return _read_or_empty(spark, path, STAGE_SCHEMA)
+
+
+def stage_rows(versions: DataFrame, name: str, version: int, stage: str) -> DataFrame:
+    """The transition that puts a registered version into a stage; no row for a version that is not known."""
+    if stage not in (NONE, STAGING, PRODUCTION, ARCHIVED):
+        raise ValueError(f"unknown stage {stage!r}")
+    return versions.where((F.col("name") == name) & (F.col("version") == version)).select("name", "version").distinct().select(
+        "name", "version", F.lit(stage).alias("stage"), F.current_timestamp().cast("timestamp_ntz").alias("ts"))
+
+
+def set_stage(spark: SparkSession, base: str, name: str, version: int, stage: str) -> None:
+    """Put one version of a model into a stage."""
+    rows = stage_rows(read_versions(spark, f"{base}/versions"), name, version, stage)
+    if rows.isEmpty():
+        raise ValueError(f"no version {version} of {name!r}")
+    rows.write.mode("append").parquet(f"{base}/transitions")
+
+
+def load_stage(spark: SparkSession, base: str, name: str, stage: str) -> PipelineModel:
+    """The model of the version of ``name`` that is in a stage."""
+    live = version_in_stage(read_transitions(spark, f"{base}/transitions"), stage, name)
+    row = read_versions(spark, f"{base}/versions").join(live, ["name", "version"]).select("path").first()
+    if row is None:
+        raise LookupError(f"no version of {name!r} is in stage {stage!r}")
+    return load_model(row["path"])
