@@ -165,11 +165,31 @@ OR (DEST = 'JFK' AND sched_arr >= TIMESTAMP '{MARK}' AND sched_arr < TIMESTAMP '
 
 @query("inbound_in_flight", f"""{ctes('flights')}, {TIMES_SQL} SELECT FLIGHT_KEY, ORIGIN, DEST, sched_dep, sched_arr,
 {r("date_diff('minute', sched_dep, sched_arr) + ARR_DELAY - DEP_DELAY",'duration_min')} FROM timed
-WHERE DEST = 'JFK' AND sched_dep + INTERVAL 1 MINUTE * CAST(DEP_DELAY AS INT) < TIMESTAMP '{MARK}' AND sched_arr >= TIMESTAMP '{MARK}'""")
+WHERE DEST = 'JFK' AND sched_dep + INTERVAL 1 MINUTE * CAST(DEP_DELAY AS INT) < TIMESTAMP '{MARK}'
+AND sched_arr + INTERVAL 1 MINUTE * CAST(coalesce(ARR_DELAY, 0) AS INT) >= TIMESTAMP '{MARK}'""")
 def _(spark, sf):
     return fc.in_flight(fx.flights(spark, sf), "JFK", MARK).select(
         "FLIGHT_KEY", "ORIGIN", "DEST", "sched_dep", "sched_arr", "duration_min")
 
+
+# Every flight at one airport on one of ten days round the mark, delays up to hours both ways.
+CROWD_SQL = """crowd AS (SELECT * REPLACE (DATE '1997-07-05' + CAST(FLIGHT_KEY % 10 AS INT) AS FL_DATE, 'JFK' AS DEST,
+CAST(FLIGHT_KEY * 7 % 400 - 100 AS DOUBLE) AS DEP_DELAY, CASE WHEN FLIGHT_KEY % 5 > 0 THEN CAST(FLIGHT_KEY * 11 % 3000 - 120 AS DOUBLE) END AS ARR_DELAY) FROM flights)"""
+CROWD_MARK = "1997-07-10 23:50:00"
+
+
+@query("inbound_near_midnight", f"""{ctes('flights')}, {CROWD_SQL}, {TIMES_SQL.replace('FROM flights', 'FROM crowd')} SELECT FLIGHT_KEY, sched_dep, sched_arr,
+{r("date_diff('minute', sched_dep, sched_arr) + ARR_DELAY - DEP_DELAY",'duration_min')} FROM timed
+WHERE sched_dep + INTERVAL 1 MINUTE * CAST(DEP_DELAY AS INT) < TIMESTAMP '{CROWD_MARK}'
+AND sched_arr + INTERVAL 1 MINUTE * CAST(coalesce(ARR_DELAY, 0) AS INT) >= TIMESTAMP '{CROWD_MARK}'""")
+def _(spark, sf):
+    """Flights of the next day that left early, and flights that are days late."""
+    key = F.col("FLIGHT_KEY")
+    crowd = fx.flights(spark, sf).withColumns({
+        "FL_DATE": F.date_add(F.lit("1997-07-05").cast("date"), (key % 10).cast("int")), "DEST": F.lit("JFK"),
+        "DEP_DELAY": (key * 7 % 400 - 100).cast("double"), "ARR_DELAY": F.when(key % 5 > 0, (key * 11 % 3000 - 120).cast("double"))})
+    return fc.in_flight(crowd, "JFK", CROWD_MARK).select("FLIGHT_KEY", "sched_dep", "sched_arr", "duration_min")
+
 # --- data validation -------------------------------------------------------------------
 
 STATS = ["n", "missing", "distinct_values", "zeros", "mean", "std", "min", "q25", "median", "q75", "max", "top_value", "type"]
@@ -214,16 +234,33 @@ def schema_sql(table, columns):
     parts = []
     for c in columns:
         kind = "BYTES" if c in ("FL_DATE", "CRS_DEP_TIME", "ORIGIN", "DEST", "OP_UNIQUE_CARRIER") else kind_of(c)
-        domain = (f"CASE WHEN count(DISTINCT {c}) <= 100 THEN list_sort(list_distinct(list(CAST({c} AS VARCHAR)))) END"
-                  if kind == "BYTES" else "NULL::VARCHAR[]")
+        size = f"CAST(count(DISTINCT {c}) AS BIGINT)" if kind == "BYTES" else "CAST(NULL AS BIGINT)"
         parts.append(f"""SELECT '{c}' AS feature, '{kind}' AS "type", CASE WHEN count(*) = count({c}) THEN 'required' ELSE 'optional' END AS presence,
-{r(f'count({c})*1.0/count(*)','min_fraction')}, array_to_string({domain}, ',') AS "domain" FROM {table}""")
+{r(f'count({c})*1.0/count(*)','min_fraction')}, {size} AS n_values FROM {table}""")
     return " UNION ALL ".join(parts)
 
 
 @query("infer_schema", f"{ctes('clean')} {schema_sql('clean', SCHEMA_COLS)}")
 def _(spark, sf):
-    return vl.infer_schema(bronze(spark, sf).select(*SCHEMA_COLS)).withColumn("domain", F.array_join("domain", ","))
+    return vl.infer_schema(bronze(spark, sf).select(*SCHEMA_COLS))
+
+
+@query("schema_domains", f"{ctes('clean')} " + " UNION ALL ".join(
+    f"SELECT DISTINCT '{c}' AS feature, CAST({c} AS VARCHAR) AS \"value\" FROM clean WHERE {c} IS NOT NULL"
+    for c in ("FL_DATE", "CRS_DEP_TIME", "ORIGIN", "DEST", "OP_UNIQUE_CARRIER")))
+def _(spark, sf):
+    return vl.domains(bronze(spark, sf).select(*SCHEMA_COLS))
+
+
+@query("validate_many_values", f"""{ctes('flights')}, late AS (SELECT CAST(FL_DATE AS VARCHAR) AS d FROM flights WHERE "YEAR" >= 1997),
+known AS (SELECT DISTINCT CAST(FL_DATE AS VARCHAR) AS d FROM flights WHERE "YEAR" <= 1997)
+SELECT 'FL_DATE' AS feature, 'out_of_domain' AS anomaly, concat(count(DISTINCT CASE WHEN d NOT IN (SELECT d FROM known) THEN d END), ' values') AS detail,
+{r("count(*) FILTER (WHERE d NOT IN (SELECT d FROM known))*1.0/count(*)", 'share')} FROM late""")
+def _(spark, sf):
+    """Hundreds of known dates, and later ones that are not."""
+    days = fx.flights(spark, sf).select(F.col("FL_DATE").cast("string").alias("FL_DATE"), "YEAR")
+    known = days.where("YEAR <= 1997").select("FL_DATE")
+    return vl.validate(days.where("YEAR >= 1997").select("FL_DATE"), vl.infer_schema(known), vl.domains(known))
 
 
 @query("validate_stats", f"""{ctes('clean')}, served AS (SELECT * FROM flights),
@@ -237,11 +274,11 @@ UNION ALL SELECT 'YEAR', 'type_changed', 'INT to BYTES', 1.0
 UNION ALL SELECT 'OP_UNIQUE_CARRIER', 'column_missing', 'BYTES', 1.0
 UNION ALL SELECT 'QUARTER', 'column_new', 'INT', 1.0""")
 def _(spark, sf):
-    schema = vl.infer_schema(bronze(spark, sf).select(*[c for c in SCHEMA_COLS if c != "FL_DATE"]))
+    seen = bronze(spark, sf).select(*[c for c in SCHEMA_COLS if c != "FL_DATE"])
     served = fx.flights(spark, sf).select(
         F.when(F.col("CRS_DEP_TIME") < "24", F.col("CRS_DEP_TIME")).alias("CRS_DEP_TIME"), "DEP_DELAY", "ARR_DELAY",
         "ORIGIN", "DEST", F.col("YEAR").cast("string").alias("YEAR"), "QUARTER")
-    return vl.validate(served, schema)
+    return vl.validate(served, vl.infer_schema(seen), vl.domains(seen))
 
 
 def jsd_sql(a, b, feature, bins=10):
@@ -274,6 +311,18 @@ def _(spark, sf):
     return vl.skew_check(*spans(spark, sf, airport=True))
 
 
+ONE_DAY = """one AS (SELECT * FROM dep6 WHERE FL_DATE = (SELECT max(FL_DATE) FROM dep6))"""
+
+
+@query("skew_check_one_day", f"""{ctes('dep6')}, {ONE_DAY}, tr AS (SELECT * FROM dep6)
+SELECT feature, 'skew' AS "check", jsd, CAST(0 AS DOUBLE) AS threshold, jsd > 0 AS anomaly FROM ({' UNION ALL '.join(jsd_sql('tr', 'one', c) for c in vl.WATCHED)})""")
+def _(spark, sf):
+    """Serving data of a single day, where the day of the week is constant."""
+    rows = stage(settled_silver(spark, sf), "silver")
+    last = rows.agg(F.max("FL_DATE")).first()[0]
+    return vl.skew_check(rows, rows.where(F.col("FL_DATE") == F.lit(last)))
+
+
 @query("drift_check", f"""{ctes('dep6')}, tr AS (SELECT * FROM dep6 WHERE FL_DATE BETWEEN DATE '1998-01-01' AND DATE '1998-12-31'),
 sv AS (SELECT * FROM dep6 WHERE FL_DATE BETWEEN DATE '1997-01-01' AND DATE '1997-12-31')
 SELECT feature, 'drift' AS "check", jsd, CAST(0 AS DOUBLE) AS threshold, jsd > 0 AS anomaly FROM ({' UNION ALL '.join(jsd_sql('tr', 'sv', c) for c in vl.WATCHED)})""")

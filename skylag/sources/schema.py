@@ -69,10 +69,48 @@ def validate_schema(df: DataFrame, expected: T.StructType) -> DataFrame:
     return wide.select(F.inline(rows)).where((F.col("issue") != "nulls") | (F.col("bad_rows") > 0))
 
 
-def migrate_schema(df: DataFrame, target: T.StructType) -> DataFrame:
-    """Target columns in target order: missing ones NULL, others converted where possible."""
-    have = set(df.columns)
+# Conversions that keep every value; text is read as any type, and what cannot be read is reported.
+WIDENS = {
+    "tinyint": {"smallint", "int", "bigint", "float", "double"}, "smallint": {"int", "bigint", "float", "double"},
+    "int": {"bigint", "double"}, "float": {"double"}, "date": {"timestamp", "timestamp_ntz"},
+}
+
+
+def narrowing(df: DataFrame, target: T.StructType) -> list[str]:
+    """Columns whose conversion to the target could change values."""
+    out = []
+    for f in target:
+        have = df.schema[f.name].dataType.simpleString() if f.name in df.columns else None
+        want = f.dataType.simpleString()
+        if have not in (None, want, "string") and want != "string" and want not in WIDENS.get(have, ()):
+            out.append(f.name)
+    return out
+
+
+def migrate_schema(df: DataFrame, target: T.StructType, allow: list[str] = (), keep_extra: bool = False) -> DataFrame:
+    """Target columns in target order, missing ones NULL; extra ones follow with ``keep_extra``.
+
+    A column that would be narrowed is an error unless ``allow`` names it. Values that
+    do not convert become NULL; ``rejected_values`` lists them.
+    """
+    narrow = sorted(set(narrowing(df, target)) - set(allow))
+    if narrow:
+        raise ValueError(f"these columns would be narrowed: {', '.join(narrow)}")
+    have, names = set(df.columns), [f.name for f in target]
     return df.select(*[
         (F.col(f.name).try_cast(f.dataType) if f.name in have else F.lit(None).cast(f.dataType)).alias(f.name)
         for f in target
-    ])
+    ], *[c for c in df.columns if keep_extra and c not in names])
+
+
+def rejected_values(df: DataFrame, target: T.StructType, keys: list[str]) -> DataFrame:
+    """Rows (keys..., feature, raw) for every value that a migration cannot convert."""
+    parts = []
+    for f in target:
+        if f.name in df.columns and df.schema[f.name].dataType != f.dataType:
+            raw = F.col(f.name)
+            parts.append(F.when(raw.isNotNull() & raw.try_cast(f.dataType).isNull(), F.struct(
+                F.lit(f.name).alias("feature"), raw.cast("string").alias("raw"))))
+    if not parts:
+        return df.select(*keys, F.lit("").alias("feature"), F.lit("").alias("raw")).limit(0)
+    return df.select(*keys, F.inline(F.array_compact(F.array(*parts))))
