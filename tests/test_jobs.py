@@ -1,5 +1,7 @@
 """The jobs end to end: ingest, silver, training, forecast, monitoring, promotion."""
 
+import dataclasses
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -47,7 +49,7 @@ def test_train_forecast_monitor_promote(spark, built):
     for kind, fit in fitted.items():
         train.record(spark, base, f"dep_{kind}", fit, P)
         assert fit.metrics["n"] > 0 and fit.metrics["rmse"] > 0
-    train.record(spark, base, "dep_gbt", fitted["gbt"], P)
+    train.record(spark, base, "dep_gbt", dataclasses.replace(fitted["gbt"], run_id="another"), P)
     versions = rg.read_versions(spark, f"{base}/versions")
     assert {(r.name, r.version) for r in versions.collect()} == {("dep_gbt", 1), ("dep_gbt", 2), ("dep_linear", 1)}
     logged = rg.read_runs(spark, f"{base}/runs").where("kind = 'metric' and key = 'rmse'")
@@ -79,3 +81,52 @@ def test_train_forecast_monitor_promote(spark, built):
 def test_leak_free_training_drops_the_other_delay(spark, built):
     fit = train.train(built[1]["silver_dep"], P, "linear", leak_free=True)
     assert "ARR_DELAY" not in fit.model.stages[0].getInputCols() and "ARR_DELAY" in md.feature_names("DEP_DELAY")
+
+
+def test_a_second_training_leaves_the_first_version_alone(spark, built):
+    base, tables = built
+    rows = tables["silver_dep"]
+    early = Params("JFK", "1996-01-01", "1997-06-30", "2001-08-01", direction="dep")
+    fits = [train.train(rows, p, "linear") for p in (early, P)]
+    assert fits[0].run_id != fits[1].run_id != train.train(rows, P, "linear").run_id
+    for fit in fits:
+        train.record(spark, base, "kept", fit, P)
+    rg.set_stage(spark, base, "kept", 1, "Production")
+    rg.set_stage(spark, base, "kept", 2, "Staging")
+    sample = rows.where("tot_precip_mm IS NOT NULL").limit(50)
+    for stage_name, fit in (("Production", fits[0]), ("Staging", fits[1])):
+        again = rg.load_stage(spark, base, "kept", stage_name)
+        assert md.score(again, sample).exceptAll(md.score(fit.model, sample)).count() == 0
+    logged = rg.read_runs(spark, f"{base}/runs").where(F.col("run_id") == fits[0].run_id)
+    keys = {r.key for r in logged.collect()}
+    assert {"signature", "data_content_hash", "data_n_rows", "rmse"} <= keys
+    with pytest.raises(Exception, match="already exists"):
+        rg.save_model(fits[0].model, f"{base}/models/{fits[0].run_id}")
+
+
+def test_jobs_do_not_need_the_row_key(spark, built):
+    rows = built[1]["silver_dep"]
+    for keyless in (rows.drop("FLIGHT_KEY"), rows.withColumn("FLIGHT_KEY", F.lit(None).cast("long"))):
+        fit = train.train(keyless, P, "linear")
+        assert fit.metrics["n"] > 0 and fit.metrics["rmse"] > 0
+        got = forecast.forecast_by_stage({"Production": fit.model}, forecast.forecast_input(keyless, P))
+        assert got.count() == forecast.forecast_input(rows, P).count()
+
+
+def test_rows_that_miss_features_do_not_spoil_the_measures(spark, built):
+    rows = built[1]["silver_dep"]
+    fit = train.train(rows, P, "linear")
+    scored = md.score(fit.model, rows)
+    missing = scored.where(F.col("yhat").isNull()).count()
+    found = md.metrics(scored, "DEP_DELAY").first()
+    assert 0 < missing and scored.where(F.isnan("yhat")).count() == 0 and found.rmse > 0 and found.r2 <= 1
+    assert found.n == scored.where("yhat IS NOT NULL AND DEP_DELAY IS NOT NULL").count()
+
+
+def test_jobs_read_only_the_months_they_need(spark, built):
+    rows = built[1]["silver_dep"]
+    short = Params("JFK", "1997-02-01", "1997-04-30", "1997-05-02", direction="dep")
+    for frame in (forecast.forecast_input(rows, short), forecast.training_input(rows, short)):
+        text = frame._jdf.queryExecution().executedPlan().toString()
+        filters = text[text.index("PartitionFilters"):text.index("PushedFilters")]
+        assert "YEAR" in filters and "MONTH" in filters

@@ -57,7 +57,7 @@ def test_promotion_across_names(spark):
 
 
 def test_versions_go_on_from_the_highest(spark):
-    known = spark.createDataFrame([("m", 4, "r0", T0)], rg.VERSION_SCHEMA)
+    known = spark.createDataFrame([("m", 4, "r0", T0, None)], rg.VERSION_SCHEMA)
     runs = spark.createDataFrame([("m", f"r{i:03d}", T0 + dt.timedelta(days=i)) for i in range(40)] + [("new", "x", T0)],
                                  "name string, run_id string, ts timestamp_ntz")
     got = {(r.name, r.run_id): r.version for r in rg.register_versions(known, runs, rows=7).collect()}
@@ -80,3 +80,22 @@ def test_fingerprint_sees_content_not_order(silver_rows):
     twice = rg.dataset_fingerprint(silver_rows.unionAll(silver_rows)).first()
     changed = rg.dataset_fingerprint(silver_rows.withColumn("DEP_DELAY", F.col("DEP_DELAY") + 1)).first()
     assert len({one.content_hash, twice.content_hash, changed.content_hash}) == 3
+
+
+def test_a_run_gets_one_version(spark):
+    known = spark.createDataFrame([("m", 1, "r0", T0, "p")], rg.VERSION_SCHEMA)
+    runs = spark.createDataFrame([("m", "r0", T0, "p"), ("m", "r1", T0, "q")], "name string, run_id string, ts timestamp_ntz, path string")
+    assert [(r.version, r.run_id, r.path) for r in rg.register_versions(known, runs).collect()] == [(2, "r1", "q")]
+
+
+def test_stages_of_unknown_versions(spark):
+    import pytest
+
+    base = new_path(spark, "base")
+    assert rg.read_versions(spark, f"{base}/versions").count() == rg.read_transitions(spark, f"{base}/transitions").count() == 0
+    with pytest.raises(ValueError):
+        rg.set_stage(spark, base, "m", 1, "Staging")
+    with pytest.raises(ValueError):
+        rg.set_stage(spark, base, "m", 1, "Elsewhere")
+    with pytest.raises(LookupError):
+        rg.load_stage(spark, base, "m", "Production")
