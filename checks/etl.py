@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from checks.registry import query
 from checks.sql import CODES_SQL, SILVER_COLS, cols, ctes, hour_ts, r
-from skylag import fixtures as fx
+from checks import fixtures as fx
 from skylag.functions import airports, times, weather_fields as wf
 from skylag.operators import flights as fl
 from skylag.operators import silver as sv

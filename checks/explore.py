@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from checks.etl import DELAYS, KEYED, bronze, hourly, silver, silver_table
 from checks.registry import query
 from checks.sql import MEASURE_COLS, NUMERIC_COLS, SILVER_COLS, SILVER_DOUBLES, cols, ctes, r
-from skylag import fixtures as fx
+from checks import fixtures as fx
 from skylag.functions import airports, status
 from skylag.operators import distributions as ds
 from skylag.operators import explore as ex

@@ -6,7 +6,7 @@ from checks.etl import KEYED, bronze, silver
 from checks.explore import ORDER_SQL, kind_of, stats_sql
 from checks.registry import query
 from checks.sql import MEASURE_COLS, NUMERIC_COLS, SILVER_COLS, cols, ctes, r
-from skylag import fixtures as fx
+from checks import fixtures as fx
 from skylag.operators import flights as fl
 from skylag.operators import model as md
 from skylag.operators import monitor as mon

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from checks.etl import DELAYS, FLIGHT_OUT, HOURLY_OUT, KEYED, bronze, hourly, silver
 from checks.registry import query
 from checks.sql import cols, ctes, r
-from skylag import fixtures as fx
+from checks import fixtures as fx
 from skylag.operators import weather as wx
 from skylag.session import new_path, stage
 from skylag.sources import layout, schema

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from checks.etl import BRONZE_OUT, DELAYS, HOURLY_OUT
 from checks.registry import query
 from checks.sql import cols, ctes
-from skylag import fixtures as fx
+from checks import fixtures as fx
 from skylag.operators import weather as wx
 from skylag.session import new_path
 from skylag.streaming import streams as st

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from checks.etl import silver
-from skylag import fixtures as fx
+from checks import fixtures as fx
 from skylag.operators import model as md
 from skylag.params import Params
 from skylag.plans import etl, forecast, monitor, train

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from checks import QUERIES
 from checks.etl import bronze, hourly, silver
-from skylag import fixtures as fx
+from checks import fixtures as fx
 from skylag.operators import flights as fl
 from skylag.operators import profile as pf
 from skylag.operators import silver as sv
