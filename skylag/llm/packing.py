@@ -13,8 +13,10 @@ and text are ignored; an empty table gives no row. Which pieces share a sequence
 lengths, checksums and the cover of every token do not.
 """
 
+import gc
 import os
 import random
+import struct
 import zlib
 
 import numpy as np
@@ -22,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from skylag.llm.common import slices
+from skylag.llm.common import slices, texts_of
 from skylag.session import stage
 
 CAPACITY = 4096
@@ -36,13 +38,21 @@ POPULATION = 4
 #: Share of the capacity from which a bin is passed on whole.
 WELL_FILLED = 0.999
 #: Distinct text chunks whose ids a worker keeps.
-CACHED_CHUNKS = 300_000
+CACHED_CHUNKS = 1_000_000
+#: Letters below this are the same for every Unicode version, composed and one code point each.
+LATIN_END = "\u0250"
+
+
+def is_plain(word: str) -> bool:
+    """Lower-case letters only, all of them Latin ones."""
+    return word.isalpha() and max(word) < LATIN_END and word == word.lower()
 
 
 class ChunkTokens(dict):
-    """Token ids (little-endian 32-bit bytes) of the chunks between spaces and line ends.
+    """Token ids (little-endian 32-bit bytes) of the chunks between spaces and line ends, without case and final stop.
 
-    The tokenizer drops white space and never joins across it, so a text's ids are those of its chunks in turn.
+    The tokenizer lower-cases, drops white space and never joins across it or between a letter and a stop, so a text's
+    ids are those of its chunks in turn. Only chunks that a worker has not met are encoded.
     """
 
     def __init__(self, path: str):
@@ -50,16 +60,66 @@ class ChunkTokens(dict):
         from tokenizers import Tokenizer
 
         self.path, self.tokenizer = path, Tokenizer.from_file(path)
-
-    def of(self, texts: list[str]) -> list[bytes]:
-        parts = [t.replace("\n", " ").split(" ") for t in texts]
+        # lower-case words of plain Latin letters need neither the normaliser nor the splitting pattern
+        self.tokenize = self.tokenizer.model.tokenize
+        self.stops = {x: self._encoded(x.decode()) for x in (b".", b",")}
+        # the byte-level alphabet: printable Latin-1 stands for itself, the other bytes come from 256 on
+        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        self.alphabet = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in plain)}
+        self.packers = [struct.Struct(f"<{n}I").pack for n in range(64)]
+
+    def _encoded(self, chunk: str) -> bytes:
+        return np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _encode(self, chunks: list[bytes]) -> None:
+        """Hold the ids of chunks."""
+        other, tokenize, packers = [], self.tokenize, self.packers
+        for chunk in chunks:
+            word = chunk.decode("latin-1")
+            if not chunk.isascii():
+                if not is_plain(chunk.decode()):
+                    other.append(chunk)
+                    continue
+                word = word.translate(self.alphabet)
+            elif not chunk.isalpha():
+                other.append(chunk)
+                continue
+            ids = [t.id for t in tokenize(word)]
+            self[chunk] = packers[len(ids)](*ids) if len(ids) < len(packers) else np.array(ids, "<u4").tobytes()
+        for at in range(0, len(other), 4096):
+            some = other[at : at + 4096]
+            found = self.tokenizer.encode_batch_fast([c.decode() for c in some], add_special_tokens=False)
+            self.update(zip(some, [np.array(e.ids, "<u4").tobytes() for e in found]))
+
+    def _learn(self, chunks: set[bytes]) -> None:
+        """Hold the ids of new chunks: without case and final stop many are known or the same."""
+        plan, cores, stops = [], set(), self.stops
+        for chunk in chunks:
+            core, stop = chunk, b""
+            if b"<" not in chunk:  # special tokens keep their case
+                if chunk.isascii():
+                    core = chunk.lower()
+                    if core[-1:] in stops and core[-2:-1].isalpha():
+                        core, stop = core[:-1], stops[core[-1:]]
+                elif is_plain(word := chunk[: -1 if chunk[-1:] in stops else None].decode().lower()):
+                    core, stop = word.encode(), stops.get(chunk[-1:], b"")
+                plan.append((chunk, core, stop))
+            cores.add(core)
+        self._encode([c for c in cores if c not in self])
+        self.update([(chunk, self[core] + stop) for chunk, core, stop in plan])
+
+    def of(self, texts: list[bytes]) -> list[bytes]:
+        parts = [t.replace(b"\n", b" ").split(b" ") for t in texts]
         if len(self) > CACHED_CHUNKS:
             self.clear()
-        missing = list({c for p in parts for c in p if c not in self})
-        for at in range(0, len(missing), 4096):
-            some = missing[at : at + 4096]
-            for chunk, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                self[chunk] = np.array(e.ids, "<u4").tobytes()
+        # many small objects are made and none in cycles: collecting between them would only cost time
+        collects = gc.isenabled()
+        gc.disable()
+        try:
+            self._learn(set().union(*parts).difference(self))
+        finally:
+            if collects:
+                gc.enable()
         end = END_ID.to_bytes(4, "little")
         return [b"".join(map(self.__getitem__, p)) + end for p in parts]
 
@@ -78,9 +138,9 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, keep_ids:
     """(doc_id, piece, start, length, ids_crc32) of each piece, and its ids with ``keep_ids``."""
 
     def run(batches):
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", 4_000_000):
             out = {"doc_id": [], "piece": [], "start": [], "length": [], "ids_crc32": [], "ids": []}
-            all_ids = chunk_tokens(tokenizer).of([t or "" for t in part.column("text").to_pylist()])
+            all_ids = chunk_tokens(tokenizer).of(texts_of(part))
             for i, ids in zip(part.column("doc_id").to_pylist(), all_ids):
                 for k, at in enumerate(range(0, len(ids), 4 * capacity)):
                     cut = ids[at : at + 4 * capacity]
@@ -228,22 +288,19 @@ def pack(items: DataFrame, capacity: int = CAPACITY, shard_pieces: int = SHARD_P
     full = items.where(F.col("length") == capacity).select(
         "uid", (-F.col("uid") - 1).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     done, rest, level = full, stage(items.where(F.col("length") < capacity).select("uid", "length"), "pieces"), 0
-    before, shards = float("inf"), 0
-    while True:
-        n = rest.count()
-        if not n:
-            break
-        # were hardly any bin closed, dealing anew would only repeat the last level: deal larger shards
-        shards = -(-n // shard_pieces) if n <= 0.9 * before else max(1, shards // 4)
+    while n := rest.count():
+        shards = -(-n // shard_pieces)
         packed = stage(pack_shards(rest, shards, capacity, level), "packed")
+        packed = packed.withColumn("sequence_id", (F.lit(level).cast("long") * (1 << 56)) + F.col("shard") * (1 << 24) + F.col("bin"))
         # a few bins of each shard have room: their pieces go on, together with those of other shards
         open_bin = F.col("load") < WELL_FILLED * capacity
-        settled = packed if shards == 1 else packed.where(~open_bin)
-        sequence = (F.lit(level).cast("long") * (1 << 56)) + F.col("shard") * (1 << 24) + F.col("bin")
-        done = done.union(offsets(settled.withColumn("sequence_id", sequence)))
-        if shards == 1:
+        left = packed.where(open_bin)
+        # were hardly any bin closed, as with pieces that leave room whatever they are put with, dealing anew would not help
+        if shards == 1 or left.count() > 0.9 * n:
+            done = done.union(offsets(packed))
             break
-        rest, level, before = packed.where(open_bin).select("uid", "length"), level + 1, n
+        done = done.union(offsets(packed.where(~open_bin)))
+        rest, level = left.select("uid", "length"), level + 1
     return done
 
 

@@ -5,6 +5,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from skylag.llm.packing import ChunkTokens, Packing, best_fit, crossover, evolve, pack, pack_documents
@@ -94,3 +95,9 @@ def test_breeding_keeps_every_piece_once_and_never_gets_worse():
         assert sorted(i for b in child.bins for i in b) == list(range(400))
         assert max(child.loads) <= 100 and child.loads == Packing(child.bins, lengths).loads
     assert len(evolve(lengths, [], 100, 6, rng).bins) <= len(one.bins)
+
+
+def test_pieces_that_always_leave_room(spark):
+    items = spark.range(1500).select(F.col("id").alias("uid"), F.lit(60).cast("long").alias("length"))
+    placed = pack(items, 100, shard_pieces=200).collect()
+    assert len(placed) == len({r.sequence_id for r in placed}) == 1500
