@@ -24,6 +24,8 @@ from skylag.llm.common import (
     unpack_sorted, window_hashes)
 from skylag.session import stage
 
+#: Text bytes whose units are found at once; each byte needs about two hundred bytes of arrays.
+UNIT_BYTES = 1_000_000
 KEYED = "batch long, shard int, keys binary, counts binary"
 
 
@@ -132,7 +134,7 @@ def _unit_table(texts: DataFrame, scheme, window: int, gram: int, shards: int) -
 
     def run(batches):
         reader, powers = scheme(), Powers()
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", UNIT_BYTES):
             units = Units([reader.values(t) for t in texts_of(part)], window, gram, powers)
             keys, inverse, counts = np.unique(np.concatenate([units.gram, units.whole]), return_inverse=True, return_counts=True)
             batch = secrets.randbits(63)
@@ -189,7 +191,7 @@ def _window_table(joined: DataFrame, scheme, window: int, shards: int) -> DataFr
 
     def run(batches):
         reader, powers = scheme(), Powers()
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", UNIT_BYTES):
             uid, places, hashes = [], [], []
             for i, t in enumerate(texts_of(part)):
                 lo, n, at = (part.column(c)[i].values.to_numpy() for c in ("lo", "n", "at"))

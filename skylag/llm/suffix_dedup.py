@@ -26,9 +26,9 @@ from skylag.session import stage
 WINDOW = 200
 GRAM = 40
 #: Bytes of stretches sorted at once in a task; stretches of one anchor stay together.
-SORT_BYTES = 2_000_000
+SORT_BYTES = 1_000_000
 #: Suffixes that one round of sorting lays out at once.
-ROUND_SUFFIXES = 1_000_000
+ROUND_SUFFIXES = 250_000
 
 
 class Suffixes:
