@@ -23,12 +23,12 @@ from pyspark.sql import functions as F
 
 from skylag.session import stage
 
-PROJECTIONS = 48
+PROJECTIONS = 24
 #: Share of the lines on which a vector must collide to be verified.
-THRESHOLD = 0.7
-#: Half a window over the radius of its level: a vector at the radius collides on five lines of six.
-HALF_WIDTH = 1.4
-FIRST_RADIUS, GROWTH, LAST_RADIUS = 0.05, 1.2, 2.0
+THRESHOLD = 0.5
+#: Half a window over the radius of its level: a vector at the radius collides on two lines of three.
+HALF_WIDTH = 1.0
+FIRST_RADIUS, GROWTH, LAST_RADIUS = 0.1, 1.15, 2.0
 SHARD_ROWS = 4096
 BLOCK_QUERIES = 256
 SEED = 7
@@ -59,7 +59,7 @@ def build_index(rows: DataFrame, shards: int) -> DataFrame:
     def build(part: pd.DataFrame) -> pd.DataFrame:
         ids = part["vec_id"].to_numpy(np.int64)
         vectors = np.stack(part["v"].to_numpy()).astype(np.float64)
-        _, first = np.unique(np.column_stack([ids.astype(np.float64), vectors]), axis=0, return_index=True)
+        first = sorted({(i, v.tobytes()): k for k, (i, v) in enumerate(zip(ids.tolist(), vectors))}.values())
         ids, vectors = ids[first], vectors[first]
         unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
         places = (unit @ lines(vectors.shape[1])).T
@@ -132,7 +132,10 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, vec_id: str = "vec
     dealt = queries.groupBy("dim", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).alias("block")).agg(
         F.collect_list(F.struct("vec_id", "v")).alias("queries"))
     everywhere = dealt.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-    work = everywhere.join(index, ["dim", "shard"]).select("dim", "queries", "ids", "vectors", "places", "order")
+    # the index is moved once; only the queries are sent to every shard
+    held = index.repartition(shards, "dim", "shard")
+    work = everywhere.repartition(shards, "dim", "shard").join(held.hint("shuffle_hash"), ["dim", "shard"]).select(
+        "dim", "queries", "ids", "vectors", "places", "order")
 
     def search(batches):
         for batch in batches:
@@ -148,7 +151,6 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, vec_id: str = "vec
                     pa.array(np.concatenate([f[0] for f in found])), pa.array(np.concatenate([f[1] for f in found]))],
                     ["query_id", "vec_id", "score"])
 
-    spread = work.repartition(max(1, min(shards * blocks, 4 * vectors.sparkSession.sparkContext.defaultParallelism)))
-    found = spread.mapInArrow(search, "query_id long, vec_id long, score double")
+    found = work.mapInArrow(search, "query_id long, vec_id long, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
