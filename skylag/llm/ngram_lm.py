@@ -55,8 +55,11 @@ class EliasFano:
         n = len(values)
         top = int(values[-1]) if n else 0
         low_bits = max(0, (top // max(1, n)).bit_length() - 1)
-        bits = (values[:, None] >> np.arange(low_bits, dtype=np.uint64)) & np.uint64(1)
-        low = np.packbits(bits.astype(np.uint8), bitorder="little")
+        bits = np.empty((n, low_bits), np.uint8)
+        for i in range(0, n, 1 << 15):  # in parts: all bits of a value take eight times its room
+            some = values[i : i + (1 << 15)].astype("<u8")
+            bits[i : i + len(some)] = np.unpackbits(some.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")[:, :low_bits]
+        low = np.packbits(bits, bitorder="little")
         parts = (values >> np.uint64(low_bits)).astype(np.int64)
         marks = np.zeros(n + (top >> low_bits) + 2, np.uint8)
         marks[parts + np.arange(n)] = 1
