@@ -122,6 +122,11 @@ def sliding_argmin(values: np.ndarray, width: int) -> np.ndarray:
     return np.where(use_b, block_b + (b & low).astype(np.int64), block_a + (a & low).astype(np.int64))
 
 
+def hash_share(*columns: str):
+    """A number in [0, 1) that depends only on a row's values."""
+    return F.pmod(F.xxhash64(*columns, F.lit("share")), F.lit(1 << 30)) / float(1 << 30)
+
+
 class Bitmap:
     """A set of 64-bit hashes as two bits each, of a fixed size; it may hold more than was put in, never less."""
 

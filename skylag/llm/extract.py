@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skylag.llm.common import WordHashes, slices
+from skylag.llm.common import WordHashes, hash_share, slices
 
 PATH_DIM, WORD_DIM, MEASURES = 160, 16, 5
 DIM = PATH_DIM + WORD_DIM + MEASURES
@@ -319,6 +319,8 @@ def varied(blocks: list[Block], labels: list[int], texts: list[str], rng: random
 def train(pages: DataFrame, sample_pages: int = SAMPLE_PAGES) -> Labeller | None:
     """A labeller fitted to a bounded sample of the pages; None if no page has a block."""
     short = pages.where(F.length("html").between(1, SAMPLE_CHARS)).select("html", F.xxhash64("html").alias("order"))
+    # a few times the sample, however many pages there are, come to the final choice
+    short = short.where(hash_share("html") < 8 * sample_pages / max(1, pages.count()))
     sample = [r["html"] for r in short.orderBy("order", "html").limit(sample_pages).toArrow().to_pylist()]
     rng, features = random.Random(0), Features()
     read = [b for b in map(blocks_of, sample) if b]

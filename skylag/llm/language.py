@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from skylag.llm.common import slices
+from skylag.llm.common import hash_share, slices
 
 CLASSES = 64
 BLOCK = 1024
@@ -91,8 +91,10 @@ class CrossParser:
         for _, sample in samples:
             table = automaton(sample)
             restart = np.where(table[0] < 0, 0, table[0])
-            # states are multiplied by CLASSES; the lowest bit marks a new phrase
+            # states are multiplied by CLASSES; the lowest bit marks a new phrase. At the root no phrase is open: there every
+            # byte starts one, and a byte that the sample lacks is one by itself
             full = np.where(table < 0, (restart + base) * CLASSES + 1, (table + base) * CLASSES)
+            full[0] |= 1
             tables.append(full.astype(np.int32))
             self.roots.append(base * CLASSES)
             base += len(table)
@@ -113,7 +115,7 @@ class CrossParser:
         grid = np.frombuffer(b"".join(parts[i].ljust(BLOCK, b"\0") for i in order), np.uint8).reshape(-1, BLOCK)
         grid = np.ascontiguousarray(grid.T).astype(np.int32)
         active = np.searchsorted(-sizes[order], -np.arange(BLOCK), side="left")  # blocks longer than each step
-        counts = np.ones((len(self.langs), len(parts)), np.int32)
+        counts = np.zeros((len(self.langs), len(parts)), np.int32)
         for lang, root in enumerate(self.roots):
             state = np.full(len(parts), root, np.int32)
             count = counts[lang]
@@ -143,7 +145,13 @@ def training_samples(labelled: DataFrame, sample_docs: int = 40, sample_chars: i
 
     The only bound of this operator: it limits what a language's automaton learns from, not what is predicted.
     """
-    short = labelled.where("lang IS NOT NULL AND text IS NOT NULL").select(
+    known = labelled.where("lang IS NOT NULL AND text IS NOT NULL")
+    # a few times the sample of each language, however many documents it has, come to the final choice
+    counts = known.groupBy("lang").count().toArrow().to_pylist()
+    if not counts:
+        return []
+    shares = F.create_map(*[F.lit(x) for c in counts for x in (c["lang"], 8.0 * sample_docs / c["count"])])
+    short = known.where(hash_share("doc_id") < F.element_at(shares, F.col("lang"))).select(
         "lang", F.substring("text", 1, sample_chars).alias("text"), F.xxhash64("doc_id").alias("order"))
     short = short.where(F.col("text").rlike("\\p{L}"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("order", "text"))
