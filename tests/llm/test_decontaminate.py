@@ -43,7 +43,7 @@ def test_equals_comparing_everything(spark):
     items = [(i, " ".join(nasty.words(rng, n))) for i, n in enumerate([5, 6, 9, 12, 13, 20, 40, 40])]
     items += [(100, None), (101, ""), (None, items[6][1])]
     docs = []
-    for d in range(60):
+    for d in range(180):
         words = nasty.words(rng, 60)
         if d % 3:
             source = rng.choice(items[:8])[1].split()
@@ -52,7 +52,7 @@ def test_equals_comparing_everything(spark):
             at = rng.randrange(60)
             words[at:at] = source[: rng.randrange(5, len(source) + 1)]
         docs.append((d, " ".join(words).title() + "."))
-    docs += [(200, None), (201, ""), (None, items[7][1])]
+    docs += [(500, None), (501, ""), (None, items[7][1])]
     found = overlaps(*tables(spark, docs, items))
     got = {(r.doc_id, r.item_id) for r in found.collect()}
     assert got == brute(docs, items) and len(got) > 20 and (None, 7) in got
