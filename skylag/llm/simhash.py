@@ -134,12 +134,17 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3) -> DataF
     return rows.join(smallest, "root").select("doc_id", "fp", "component_id")
 
 
-def keep_one(docs: DataFrame, shingle: int = 3, radius: int = 3) -> DataFrame:
-    """One row of ``docs`` of each group of near copies: the one with the smallest doc_id, null ids last."""
+def one_of_each(docs: DataFrame, groups: DataFrame) -> DataFrame:
+    """One row of ``docs`` of each root of ``groups`` (doc_id, content, root): the smallest doc_id, null ids last."""
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "content")
-    best = grouped(docs, shingle, radius).groupBy("root").agg(F.min(order).alias("b")).select(
+    best = groups.groupBy("root").agg(F.min(order).alias("b")).select(
         F.col("b.doc_id").alias("_id"), F.col("b.content").alias("_best"))
     keyed = docs.withColumn("_content", F.xxhash64("text"))
     kept = keyed.join(best, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_content") == F.col("_best")), "left_semi")
     # a row that is repeated as a whole is one document
     return kept.dropDuplicates(["doc_id", "_content"]).drop("_content")
+
+
+def keep_one(docs: DataFrame, shingle: int = 3, radius: int = 3) -> DataFrame:
+    """One row of ``docs`` of each group of near copies: the one with the smallest doc_id, null ids last."""
+    return one_of_each(docs, grouped(docs, shingle, radius))
