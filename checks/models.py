@@ -15,13 +15,14 @@ from skylag.session import new_path, stage
 from skylag.sources import registry as rg
 
 LABEL = {"dep": "DEP_DELAY", "arr": "ARR_DELAY"}
-SMALL = {"maxDepth": 2, "maxIter": 5}
+#: A member of the searched grid, for fits without a search.
+MEMBER = {"maxDepth": 2, "maxIter": 10}
 
 
-def parts(spark, sf, d, kind=sp.TRAIN_TEST):
+def parts(spark, sf, d, kind=sp.TRAIN_TEST, leak_free=False):
     """Training and test frames of one direction's span, from one written table."""
     rows = stage(sp.hash_split(silver(spark, sf, d), ["FLIGHT_KEY"], kind), "silver")
-    return [md.training_frame(rows.where(F.col("part") == p), LABEL[d]) for p in ("train", "test")]
+    return [md.training_frame(rows.where(F.col("part") == p), LABEL[d], leak_free) for p in ("train", "test")]
 
 
 def span(rows):
@@ -51,7 +52,7 @@ for d in ("dep", "arr"):
     @query(f"gbt_fit_{d}")
     def _(spark, sf, label=label, d=d):
         train, test = parts(spark, sf, d)
-        return md.metrics(md.score(md.train_gbt(train, label, **SMALL), test), label)
+        return md.metrics(md.score(md.train_gbt(train, label, **MEMBER), test), label)
 
     @query(f"linear_baseline_{d}")
     def _(spark, sf, label=label, d=d):
@@ -82,14 +83,14 @@ WHERE DEP_DELAY IS NOT NULL AND ARR_DELAY IS NOT NULL AND "hour" IS NOT NULL AND
 @query("grid_cv")
 def _(spark, sf):
     train, test = parts(spark, sf, "dep")
-    model = md.tune(train, "DEP_DELAY", max_depths=(2,), max_iters=(3, 5), folds=2)
+    model = md.tune(train, "DEP_DELAY")
     return md.metrics(md.score(model, test), "DEP_DELAY")
 
 
 @query("pipeline_fit")
 def _(spark, sf):
     train, test = parts(spark, sf, "arr")
-    return md.score(md.train_gbt(train, "ARR_DELAY", **SMALL), test).select("ARR_DELAY", "yhat")
+    return md.score(md.tune(train, "ARR_DELAY"), test).select("ARR_DELAY", "yhat")
 
 
 @query("prediction_view")
@@ -101,9 +102,8 @@ def _(spark, sf):
 
 @query("leak_free_fit")
 def _(spark, sf):
-    rows = silver(spark, sf, "dep")
-    frame = md.training_frame(rows, "DEP_DELAY", leak_free=True)
-    return md.metrics(md.score(md.train_linear(frame, "DEP_DELAY"), frame), "DEP_DELAY")
+    train, test = parts(spark, sf, "dep", leak_free=True)
+    return md.metrics(md.score(md.train_linear(train, "DEP_DELAY"), test), "DEP_DELAY")
 
 
 @query("model_sink")
@@ -119,14 +119,14 @@ def _(spark, sf):
 @query("score_batch")
 def _(spark, sf):
     train, test = parts(spark, sf, "dep")
-    return md.score(md.train_gbt(train, "DEP_DELAY", **SMALL), test).select("DEP_DELAY", "yhat")
+    return md.score(md.train_gbt(train, "DEP_DELAY", **MEMBER), test).select("DEP_DELAY", "yhat")
 
 
 @query("forecast_by_stage")
 def _(spark, sf):
     rows = stage(silver(spark, sf, "dep"), "silver")
     train = md.training_frame(span(rows), "DEP_DELAY")
-    models = {"Staging": md.train_gbt(train, "DEP_DELAY", **SMALL), "Production": md.train_linear(train, "DEP_DELAY")}
+    models = {"Staging": md.train_gbt(train, "DEP_DELAY", **MEMBER), "Production": md.train_linear(train, "DEP_DELAY")}
     return fc.forecast_by_stage(models, fc.forecast_input(rows, P))
 
 
@@ -141,5 +141,5 @@ def _(spark, sf):
 def _(spark, sf):
     rows = stage(silver(spark, sf, "arr"), "silver")
     train = md.training_frame(span(rows), "ARR_DELAY")
-    models = {"staging": md.train_gbt(train, "ARR_DELAY", **SMALL), "prod": md.train_linear(train, "ARR_DELAY")}
+    models = {"staging": md.train_gbt(train, "ARR_DELAY", **MEMBER), "prod": md.train_linear(train, "ARR_DELAY")}
     return pm.residual_trend(pm.stage_residuals(rows, P, models))

@@ -77,3 +77,23 @@ def test_promotion_rule(spark):
     assert decide([1.0, 2.0], [1.0, 9.0]).decision == "promote"
     assert decide([1.0, 9.0], [1.0, 9.0]).decision == "retrain"
     assert decide([9.0, None], [-5.0, 5.0]).staging == 0.0
+
+
+def test_registered_fits_are_not_cut(spark, sf_dir, monkeypatch):
+    """Searches take the whole grid, single fits a member of it, and a leak-free fit is measured on other rows."""
+    from checks import models as checked
+    from checks.registry import QUERIES
+
+    searches, fits, measured = [], [], []
+    monkeypatch.setattr(md, "tune", lambda df, label, **search: searches.append(search) or md.train_linear(df, label))
+    monkeypatch.setattr(md, "score", lambda model, df, out="yhat": measured.append(df) or df.withColumn(out, F.lit(0.0)))
+    monkeypatch.setattr(md, "train_linear", lambda df, label: fits.append(df))
+    train, test = (spark.createDataFrame([(float(i), 1.0)], "DEP_DELAY double, ARR_DELAY double") for i in (1, 2))
+    monkeypatch.setattr(checked, "parts", lambda *a, **k: (train, test))
+    QUERIES["grid_cv"](spark, sf_dir)
+    QUERIES["pipeline_fit"](spark, sf_dir)
+    assert searches == [{}, {}]
+    fits.clear(), measured.clear()
+    QUERIES["leak_free_fit"](spark, sf_dir)
+    assert fits == [train] and measured == [test]
+    assert checked.MEMBER["maxDepth"] in md.MAX_DEPTHS and checked.MEMBER["maxIter"] in md.MAX_ITERS
