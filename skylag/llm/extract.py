@@ -5,7 +5,7 @@ holds its path (hashed names of the open elements and of their class, id and rol
 few measures. A bidirectional LSTM in numpy reads the row both ways, so each block is judged with the whole page in
 view, and blocks labelled as content are joined.
 
-The labeller is trained here on at most ``sample_pages`` pages, chosen by a hash of their id: element names say what
+The labeller is trained here on at most ``sample_pages`` distinct pages, chosen by a hash; of a long one, on windows: element names say what
 most blocks are, and copies of the pages with renamed content elements and with boilerplate put in at random
 places teach it the rest. Only this sample is bounded; every page is read whole.
 
@@ -16,6 +16,7 @@ columns of these names; an empty table gives an empty result.
 """
 
 import html
+import pickle
 import random
 import re
 
@@ -25,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skylag.llm.common import WordHashes, hash_share, slices
+from skylag.llm.common import WordHashes, slices
 
 PATH_DIM, WORD_DIM, MEASURES = 160, 16, 5
 DIM = PATH_DIM + WORD_DIM + MEASURES
@@ -316,22 +317,55 @@ def varied(blocks: list[Block], labels: list[int], texts: list[str], rng: random
     return [b for b, _ in out], [label for _, label in out]
 
 
+def windows(blocks: list[Block], labels: list[int]) -> list[tuple[list[Block], list[int]]]:
+    """A page as a whole if it is short, else its begin, middle and end, each bounded in blocks and characters."""
+    most = WIDE - 24  # varied() puts in up to so many
+
+    def cut(at):
+        got, held = [], 0
+        for b in blocks[at : at + most]:
+            if got and held + len(b.text) > SAMPLE_CHARS:
+                break
+            got.append(Block(b.path, b.text[:SAMPLE_CHARS], b.linked))
+            held += len(b.text)
+        return got, labels[at : at + len(got)]
+
+    first = cut(0)
+    n = len(first[0])
+    if n == len(blocks):
+        return [first] if n else []
+    return [cut(at) for at in dict.fromkeys((0, (len(blocks) - n) // 2, max(0, len(blocks) - n)))]
+
+
+def sampled(pages: DataFrame, sample_pages: int) -> list:
+    """Windows of the distinct pages with the smallest hashes: (blocks, labels) each, in the order of the hashes."""
+    keyed = pages.where(F.length("html") > 0).select("html", F.xxhash64("html").alias("order"))
+    first = [r["order"] for r in keyed.select("order").distinct().orderBy("order").limit(sample_pages).toArrow().to_pylist()]
+    chosen = keyed.where(F.col("order").isin(first)).groupBy("order").agg(F.min("html").alias("html"))
+
+    def run(batches):
+        for part in slices(batches, "html"):
+            out = []
+            for page in part.column("html").to_pylist():
+                blocks = blocks_of(page)
+                out.append(pickle.dumps([([(b.path, b.text, b.linked) for b in some], own) for some, own in windows(blocks, weak_labels(blocks))]))
+            yield pa.RecordBatch.from_arrays([part.column("order"), pa.array(out, pa.binary())], ["order", "windows"])
+
+    got = sorted(chosen.mapInArrow(run, "order long, windows binary").toArrow().to_pylist(), key=lambda r: r["order"])
+    return [([Block(*b) for b in some], own) for r in got for some, own in pickle.loads(r["windows"])]
+
+
 def train(pages: DataFrame, sample_pages: int = SAMPLE_PAGES) -> Labeller | None:
     """A labeller fitted to a bounded sample of the pages; None if no page has a block."""
-    short = pages.where(F.length("html").between(1, SAMPLE_CHARS)).select("html", F.xxhash64("html").alias("order"))
-    # a few times the sample, however many pages there are, come to the final choice
-    short = short.where(hash_share("html") < 8 * sample_pages / max(1, pages.count()))
-    sample = [r["html"] for r in short.orderBy("order", "html").limit(sample_pages).toArrow().to_pylist()]
+    read = sampled(pages, sample_pages)
     rng, features = random.Random(0), Features()
-    read = [b for b in map(blocks_of, sample) if b]
     if not read:
         return None
-    texts = [b.text for page in read for b in page]
+    texts = [b.text for page, _ in read for b in page]
     examples = []
-    for page in read:
-        labels = weak_labels(page)
+    for page, labels in read:
         for blocks, own in [(page, labels), *[varied(page, labels, texts, rng) for _ in range(3)]]:
-            if blocks and len(blocks) <= WIDE:
+            if blocks:
                 examples.append((features.of([blocks])[0], np.array(own, float)))
     return Labeller().fit(examples)
 

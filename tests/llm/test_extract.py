@@ -101,3 +101,18 @@ def test_awkward_rows(spark, sf_dir):
 
 def test_empty_table(spark):
     assert extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+def test_long_or_repeated_pages_train_a_model(spark):
+    """One page of over 60,000 characters and 400 blocks, and one page in thousands of rows beside a few others."""
+    story = [f"Part {i} of a story, told at length, with words enough to be a paragraph of it." for i in range(1000)]
+
+    def page(parts):
+        return "<html><body><nav><a>menu</a></nav><article>" + "".join(f"<p>{p}</p>" for p in parts) + "</article><footer>end of page</footer></body></html>"
+
+    one = spark.createDataFrame([(1, page(story))], "page_id long, html string")
+    assert len(one.first().html) > 60_000 and extract(one).first().text == "\n".join(story)
+    few = [page(story[10 * k : 10 * k + 10]) for k in range(2)]
+    many = spark.range(6000).select(F.col("id").alias("page_id"), F.when(F.col("id") < 1, few[1]).otherwise(few[0]).alias("html"))
+    got = {r.text: r["count"] for r in extract(many).groupBy("text").count().collect()}
+    assert got == {"\n".join(story[:10]): 5999, "\n".join(story[10:20]): 1}
