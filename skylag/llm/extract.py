@@ -53,6 +53,7 @@ BOILERPLATE = frozenset(
 CONTENT = frozenset("article main".split())
 CONTENT_NAMES = [("article",), ("main",), ("div", "content"), ("div", "post"), ("div", "article", "body"), ("section", "entry", "content"),
                  ("main", "article"), ("div", "story"), ("div", "main", "content")]
+WRAPPER_WORDS = sorted(BOILERPLATE - {"title", "nav", "footer", "aside", "form", "header"})
 PUT_IN = [("header",), ("header", "masthead"), ("div", "header"), ("nav",), ("nav", "ul", "li"), ("ul", "menu", "li"), ("div", "navbar"),
           ("aside",), ("aside", "p"), ("div", "sidebar"), ("div", "sidebar", "widget", "p"), ("div", "ad"), ("div", "ads"), ("div", "advert"),
           ("div", "advertisement"), ("div", "sponsored", "p"), ("div", "promo"), ("div", "banner"), ("div", "cookie", "banner"),
@@ -70,15 +71,17 @@ NAME = re.compile(r"[a-z]+")
 
 
 class Block:
-    __slots__ = ("path", "text", "linked")
+    __slots__ = ("path", "text", "linked", "elements")
 
-    def __init__(self, path: tuple, text: str, linked: float):
-        self.path, self.text, self.linked = path, text, linked
+    def __init__(self, path: tuple, text: str, linked: float, elements: tuple | None = None):
+        #: elements has (number in the page, name, marks) of each open element; None if only the path is known
+        self.path, self.text, self.linked, self.elements = path, text, linked, elements
 
 
 def blocks_of(page: str | None) -> list[Block]:
     """Leaf blocks of a page in order: path words, text with white space made single, share of link text."""
     out, stack, names, text, linked, in_link, at = [], [], [()], [], 0, 0, 0
+    opened, count = [()], 0
 
     def flush():
         nonlocal linked
@@ -86,7 +89,7 @@ def blocks_of(page: str | None) -> list[Block]:
         if raw:
             words = (html.unescape(raw) if "&" in raw else raw).split()
             if words:
-                out.append(Block(names[-1], " ".join(words), min(1.0, linked / len(raw))))
+                out.append(Block(names[-1], " ".join(words), min(1.0, linked / len(raw)), opened[-1]))
             text.clear()
         linked = 0
 
@@ -116,17 +119,22 @@ def blocks_of(page: str | None) -> list[Block]:
             if name in stack:
                 while stack.pop() != name:
                     names.pop()
+                    opened.pop()
                 names.pop()
+                opened.pop()
                 in_link = 0
             continue
         if name in CLOSES_ITSELF and stack and stack[-1] == name:
             stack.pop()
             names.pop()
+            opened.pop()
         if name in VOID:
             continue
         marks = () if not m[4] else tuple(w for v in MARKS.findall(m[4]) for w in NAME.findall(v.lower()))
         stack.append(name)
         names.append((*names[-1], name, *marks))
+        opened.append((*opened[-1], (count, name, marks)))
+        count += 1
     add(page[at:])
     flush()
     return out
@@ -288,8 +296,43 @@ class Labeller:
         return self
 
 
+def plain(blocks: list[Block]) -> list[Block]:
+    """The blocks with paths that say what is content: without the marks of html and body, of the main content element
+    and of the elements round it, as these hold the article and more; 'title' stays only as an element name.
+
+    The main content element is the outermost article or main (by name or mark) with the most words, one without
+    boilerplate marks first.
+    """
+    words, clean = {}, {}
+    for b in blocks:
+        for k, (i, name, marks) in enumerate(b.elements or ()):
+            if name in CONTENT or name not in ("html", "body") and CONTENT & set(marks):
+                words[i] = words.get(i, 0) + len(b.text.split())
+                clean[i] = not BOILERPLATE & set(marks) and not any(n in BOILERPLATE for _, n, _ in b.elements[:k])
+                break
+    main = max(words, key=lambda i: (clean[i], words[i]), default=None)
+    holders = set()
+    for b in blocks:
+        ids = [e[0] for e in b.elements or ()]
+        if main in ids:
+            holders.update(ids[: ids.index(main) + 1])
+    out = []
+    for b in blocks:
+        if b.elements is None:
+            out.append(b)
+            continue
+        path = []
+        for i, name, marks in b.elements:
+            path.append(name)
+            if name not in ("html", "body"):
+                path += [m for m in marks if m != "title" and (i not in holders or m not in BOILERPLATE)]
+        out.append(Block(tuple(path), b.text, b.linked))
+    return out
+
+
 def weak_labels(blocks: list[Block]) -> list[int]:
     """1 for what element names say is content. A page that names no content element counts its long paragraphs."""
+    blocks = plain(blocks)
     named = any(CONTENT & set(b.path) for b in blocks)
     return [int(not BOILERPLATE & set(b.path) and bool(CONTENT & set(b.path) if named else len(b.text.split()) >= 20)) for b in blocks]
 
@@ -297,6 +340,9 @@ def weak_labels(blocks: list[Block]) -> list[int]:
 def varied(blocks: list[Block], labels: list[int], texts: list[str], rng: random.Random) -> tuple[list[Block], list[int]]:
     """A copy of a page with its content elements renamed and boilerplate put in before, inside and behind."""
     name = rng.choice(CONTENT_NAMES)
+    # words of the wrappers of a page mean nothing
+    if rng.random() < 0.3:
+        name = (*name, *rng.sample(WRAPPER_WORDS, 2))
     out = []
     for b, label in zip(blocks, labels):
         path = []
@@ -347,7 +393,7 @@ def sampled(pages: DataFrame, sample_pages: int) -> list:
         for part in slices(batches, "html"):
             out = []
             for page in part.column("html").to_pylist():
-                blocks = blocks_of(page)
+                blocks = plain(blocks_of(page))
                 out.append(pickle.dumps([([(b.path, b.text, b.linked) for b in some], own) for some, own in windows(blocks, weak_labels(blocks))]))
             yield pa.RecordBatch.from_arrays([part.column("order"), pa.array(out, pa.binary())], ["order", "windows"])
 
@@ -379,7 +425,7 @@ def extract(pages: DataFrame, labeller: Labeller | None = None) -> DataFrame:
     def run(batches):
         features = Features()
         for part in slices(batches, "html"):
-            read = [blocks_of(h) for h in part.column("html").to_pylist()]
+            read = [plain(blocks_of(h)) for h in part.column("html").to_pylist()]
             kept = model.value.content(features.of(read)) if model.value else [[] for _ in read]
             texts = ["\n".join(b.text for b, k in zip(blocks, keep) if k) for blocks, keep in zip(read, kept)]
             yield pa.RecordBatch.from_arrays(

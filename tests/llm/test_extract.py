@@ -116,3 +116,28 @@ def test_long_or_repeated_pages_train_a_model(spark):
     many = spark.range(6000).select(F.col("id").alias("page_id"), F.when(F.col("id") < 1, few[1]).otherwise(few[0]).alias("html"))
     got = {r.text: r["count"] for r in extract(many).groupBy("text").count().collect()}
     assert got == {"\n".join(story[:10]): 5999, "\n".join(story[10:20]): 1}
+
+
+PLAIN = "<html><head><title>Site</title></head><body><nav><a>menu</a></nav><div><article><h1>A head</h1><p>First part, told at length.</p><p>Second part.</p></article></div><div class='ad'>buy</div></body></html>"
+MARKED = [
+    PLAIN.replace("<body>", "<body class='has-sidebar search skin'>"), PLAIN.replace("<div><article>", "<div class='content no-comments'><article>"),
+    PLAIN.replace("<h1>", "<h1 class='entry-title'>"), PLAIN.replace("<html>", "<html class='no-banner'>"),
+    PLAIN.replace("<article>", "<article class='post has-share'>")]
+
+
+@pytest.mark.parametrize("page", MARKED)
+def test_words_on_wrappers_do_not_make_boilerplate(page):
+    assert [b.text for b, y in zip(blocks_of(page), weak_labels(blocks_of(page))) if y] == ["A head", "First part, told at length.", "Second part."]
+
+
+def test_a_listing_beside_the_article_is_not_content():
+    page = PLAIN.replace("<div class='ad'>buy</div>", "<div class='related'><article>A card</article></div>")
+    assert weak_labels(blocks_of(page)) == [0, 0, 1, 1, 1, 0]
+
+
+def test_articles_under_marked_wrappers_are_given_whole(spark, sf_dir):
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    marked = pages.withColumn("html", F.regexp_replace(F.regexp_replace("html", "<body>", "<body class='has-sidebar search'>"), "<h1>", "<h1 class='entry-title'>"))
+    want = {r.page_id: reference(r.html) for r in pages.collect()}
+    got = extract(marked, train(pages)).collect()
+    assert sum(r.text == want[r.page_id] for r in got) == len(want)
