@@ -123,7 +123,8 @@ def may_repeat(spark: SparkSession, hashes: DataFrame, rows: int):
 def marked(rows: DataFrame) -> DataFrame:
     """(own, keep_id, group_size, kept, digest) of rows that may have an equal, grouped by digest."""
     first = F.min(F.struct((-F.col("size")).alias("a"), F.col("id").isNull().alias("b"), F.col("id"), F.col("uid")))
-    groups = rows.groupBy("digest").agg(F.count("*").alias("group_size"), first.alias("first"))
+    # written, so that the join shuffles both sides by itself and can split a hot digest
+    groups = stage(rows.groupBy("digest").agg(F.count("*").alias("group_size"), first.alias("first")), "groups")
     return rows.join(groups, "digest").select(
         "own", F.col("first.id").alias("keep_id"), "group_size", (F.col("uid") == F.col("first.uid")).alias("kept"), "digest")
 
