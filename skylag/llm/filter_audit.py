@@ -54,7 +54,8 @@ def verdicts(docs: DataFrame, min_words: int = 200) -> DataFrame:
 def mask_counts(docs: DataFrame, labels: DataFrame, min_words: int = 200) -> DataFrame:
     """(part, cell, n): how many documents have each mask and labels; cell is mask * KINDS + kind."""
     rows = stage(verdicts(docs, min_words), "verdicts")
-    least = rows.groupBy("digest").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")).where("n > 1").drop("n")
+    # written, so that the join shuffles both sides by itself and can split a hot text
+    least = stage(rows.groupBy("digest").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")).where("n > 1").drop("n"), "repeated")
     kind = F.max((F.col("quality") == 1).cast("int")) + F.max((F.col("toxic") == 1).cast("int")) * 2
     flags = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("quality", F.lit(0)).alias("quality"),
                           F.coalesce("toxic", F.lit(0)).alias("toxic")).groupBy("doc_id").agg(kind.alias("kind")).where("kind > 0")
