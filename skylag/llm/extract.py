@@ -10,12 +10,15 @@ most blocks are, and copies of the pages with renamed content elements and with
 places teach it the rest. Only this sample is bounded; every page is read whole.
 
 Defined cases: a null or empty page gives an empty text; text outside any element is a block; comments, scripts, styles
-and other elements without running text are dropped; references without a semicolon are decoded as browsers do; ``br`` is
-white space; unclosed elements end with their parent; extra columns pass through, and text, n_chars and n_blocks replace
+and other elements without running text are dropped; tags, attributes, comments and self-closed svg are read as browsers
+read them, in time linear in the page; references without a semicolon are decoded as browsers do; ``br`` is
+white space; unclosed elements end with their parent, unclosed comments and scripts with the page, and an unclosed tag
+is text; extra columns pass through, and text, n_chars and n_blocks replace
 columns of these names; an empty table gives an empty result.
 """
 
 import html
+import operator
 import pickle
 import random
 import re
@@ -32,6 +35,8 @@ PATH_DIM, WORD_DIM, MEASURES = 160, 16, 5
 DIM = PATH_DIM + WORD_DIM + MEASURES
 HIDDEN = 16
 SAMPLE_PAGES, SAMPLE_CHARS = 250, 60_000
+#: Innermost path words of a training block, and path words from which deeper is the same.
+SAMPLE_PATH, DEEPEST = 200, 40
 STEPS, BATCH, RATE = 240, 24, 0.01
 #: Pages longer than this many blocks are labelled by themselves, so that padding stays small.
 WIDE = 400
@@ -41,8 +46,15 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span "
     "strike strong sub sup time tt u var wbr img br input".split())
-SILENT = "script|style|noscript|template|textarea|select|svg|math|iframe|object|canvas|audio|video|button"
+#: Elements without running text: those whose content is not markup, and those whose markup is passed over.
+RAW = frozenset("script style textarea iframe noscript noembed noframes xmp".split())
+FOREIGN = frozenset("svg math".split())
+SILENT = FOREIGN | frozenset("template select object canvas audio video button".split())
 CLOSES_ITSELF = frozenset("p li dt dd tr td th option".split())
+#: Start tags that end an svg or math element they stand in.
+BREAKS_OUT = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p pre ruby s "
+    "small span strong strike sub sup table tt u ul var".split())
 
 # Words in class, id and role attributes and elements that mark what is not the article.
 BOILERPLATE = frozenset(
@@ -63,25 +75,108 @@ PUT_IN = [("header",), ("header", "masthead"), ("div", "header"), ("nav",), ("na
           ("ol", "comment", "list", "li", "p"), ("div", "comment"), ("div", "reply"), ("footer",), ("footer", "p"), ("div", "footer"),
           ("div", "copyright"), ("div", "legal"), ("div", "disclaimer"), ("div", "login"), ("div", "pagination"), ("title",)]
 
+#: A start or end tag as browsers read it; no part of it is tried in two ways.
 TAG = re.compile(
-    rf"<(?:!--.*?(?:-->|\Z)|({SILENT})\b.*?(?:</\1\s*>|\Z)|(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^\"'>]|\"[^\"]*\"|'[^']*')*+)>|[!?][^>]*>)",
-    re.S | re.I)
+    r"""<(/?)([a-zA-Z][^\s/>]*+)((?:\s++|/(?!>)|(?:=[^\s/>=]*+|[^\s/>=]++)(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+|(?=>)))?+)*+)(/?)>""")
+COMMENT_END = re.compile("--!?>")
+RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])", re.I) for name in RAW}
 MARKS = re.compile(r"""\b(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
 NAME = re.compile(r"[a-z]+")
 
 
+def tags(page: str, silent: list):
+    """(start, end, closing, name, attributes, self-closed) of what is not text, in order, in time linear in the page.
+
+    The name is None for comments, declarations and raw elements with their content. What is not closed at all reaches
+    to the end, but for a tag, which is text. ``silent`` has the reader's open elements without running text.
+    """
+    at, end = page.find("<"), len(page)
+    while at >= 0:
+        after, third = page[at + 1 : at + 2], page[at + 2 : at + 3]
+        if after in ("!", "?") or after == "/" and third and not (third.isascii() and third.isalpha()):
+            if page.startswith("<!--", at):
+                if page.startswith((">", "->"), at + 4):
+                    stop = page.index(">", at) + 1
+                else:
+                    found = COMMENT_END.search(page, at + 4)
+                    stop = found.end() if found else end
+            else:
+                stop = page.find(">", at) + 1 or end
+            yield at, stop, False, None, "", False
+        elif m := TAG.match(page, at):
+            name, stop = m[2].lower(), m.end()
+            if name in RAW and not m[1] and not (m[4] and silent and silent[0] in FOREIGN):
+                found = RAW_END[name].search(page, stop)
+                stop = page.find(">", found.start()) + 1 or end if found else end
+                name = None
+            yield at, stop, bool(m[1]), name, m[3], bool(m[4])
+        elif after == "/" or after.isascii() and after.isalpha():
+            return  # a tag without end
+        else:
+            stop = at + 1
+        at = page.find("<", stop)
+
+
+class Node:
+    """An open element, with what its chain of parents says, so that no chain is walked for each block."""
+
+    __slots__ = ("parent", "name", "marks", "top", "named", "words", "holds", "kind")
+
+    def __init__(self, parent: "Node | None", name: str = "", marks: tuple = ()):
+        self.parent, self.name, self.marks = parent, name, marks
+        own = name in CONTENT or name not in ("html", "body") and not CONTENT.isdisjoint(marks)
+        #: the outermost content element, and whether a boilerplate element is round this one or is it
+        self.top = (parent.top if parent else None) or (self if own else None)
+        self.named = parent is not None and (parent.named or name in BOILERPLATE)
+        self.words, self.holds = 0, False
+        #: set by ``plain``: (bits, number of path words, any boilerplate word, any content word)
+        self.kind = None if parent else (0, 0, False, False)
+
+    def own(self) -> tuple:
+        """Its path words: 'title' counts as a name alone, and marks of html, body and holders of the article say little."""
+        if self.name in ("html", "body"):
+            return (self.name,)
+        return self.name, *[m for m in self.marks if m != "title" and not (self.holds and m in BOILERPLATE)]
+
+    def path(self, most: int = 1 << 60) -> tuple:
+        """Path words, the innermost ``most`` or some more."""
+        out, node, n = [], self, 0
+        while node.parent and n < most:
+            out.append(node.own())
+            n += len(out[-1])
+            node = node.parent
+        return tuple(w for words in reversed(out) for w in words)
+
+    def settle(self) -> tuple:
+        """Its kind, from that of its parents."""
+        chain, node = [], self
+        while node.kind is None:
+            chain.append(node)
+            node = node.parent
+        for node in reversed(chain):
+            node.kind = tuple(f(a, b) for f, a, b in zip(JOINED, node.parent.kind, kind_of(node.own())))
+        return self.kind
+
+
 class Block:
-    __slots__ = ("path", "text", "linked", "elements")
+    """A run of text with the element it stands in, or with path words alone."""
+
+    __slots__ = ("node", "words", "text", "linked", "kind")
+
+    def __init__(self, path: "tuple | Node", text: str, linked: float, kind: tuple | None = None):
+        self.node, self.words = (path, None) if isinstance(path, Node) else (None, path)
+        self.text, self.linked, self.kind = text, linked, kind
 
-    def __init__(self, path: tuple, text: str, linked: float, elements: tuple | None = None):
-        #: elements has (number in the page, name, marks) of each open element; None if only the path is known
-        self.path, self.text, self.linked, self.elements = path, text, linked, elements
+    @property
+    def path(self) -> tuple:
+        return self.words if self.node is None else self.node.path()
 
 
 def blocks_of(page: str | None) -> list[Block]:
     """Leaf blocks of a page in order: path words, text with white space made single, share of link text."""
-    out, stack, names, text, linked, in_link, at = [], [], [()], [], 0, 0, 0
-    opened, count = [()], 0
+    out, text, linked, in_link, at = [], [], 0, 0, 0
+    stack, opened = [Node(None)], {}  # opened: how many elements of each name are open
+    silent, held = [], {}  # open elements from one without running text on, and how many of each name
 
     def flush():
         nonlocal linked
@@ -89,70 +184,121 @@ def blocks_of(page: str | None) -> list[Block]:
         if raw:
             words = (html.unescape(raw) if "&" in raw else raw).split()
             if words:
-                out.append(Block(names[-1], " ".join(words), min(1.0, linked / len(raw)), opened[-1]))
+                out.append(Block(stack[-1], " ".join(words), min(1.0, linked / len(raw))))
+                stack[-1].words += len(words)
             text.clear()
         linked = 0
 
     def add(piece: str):
         nonlocal linked
-        if piece:
+        if piece and not silent:
             text.append(piece)
             if in_link:
                 linked += len(piece)
 
+    def hush(name: str):
+        silent.append(name)
+        held[name] = held.get(name, 0) + 1
+
+    def speak():
+        silent.clear()
+        held.clear()
+
+    def passed_over(closing: bool, name: str, closed: bool) -> bool:
+        """Whether a tag inside an element without running text changes nothing outside it."""
+        if closing:
+            if held.get(name):
+                while (last := silent.pop()) != name:
+                    held[last] -= 1
+                held[name] -= 1
+                return True
+            if name in INLINE or not opened.get(name):
+                return True
+            speak()  # its parent ends
+            return False
+        if silent[0] in FOREIGN and name in BREAKS_OUT and not held.get("foreignobject"):
+            speak()
+            return False
+        # of what is open in here only names that can end it matter
+        if (name in SILENT or name == "foreignobject") and not (closed and silent[0] in FOREIGN):
+            hush(name)
+        return True
+
+    def close():
+        opened[stack.pop().name] -= 1
+
     page = page or ""
-    for m in TAG.finditer(page):
-        add(page[at : m.start()])
-        at = m.end()
-        name = m[3]
-        if name is None:
+    for start, end, closing, name, attributes, closed in tags(page, silent):
+        add(page[at:start])
+        at = end
+        if name is None or silent and passed_over(closing, name, closed):
+            continue
+        if name in SILENT:
+            if not closing and not (closed and name in FOREIGN):
+                hush(name)
             continue
-        name = name.lower()
         if name in INLINE:
             if name == "br":
                 add(" ")
             elif name == "a":
-                in_link = 0 if m[2] else 1
+                in_link = 0 if closing else 1
             continue
         flush()
-        if m[2]:
-            if name in stack:
-                while stack.pop() != name:
-                    names.pop()
-                    opened.pop()
-                names.pop()
-                opened.pop()
+        if closing:
+            if opened.get(name):
+                while stack[-1].name != name:
+                    close()
+                close()
                 in_link = 0
             continue
-        if name in CLOSES_ITSELF and stack and stack[-1] == name:
-            stack.pop()
-            names.pop()
-            opened.pop()
+        if name in CLOSES_ITSELF and stack[-1].name == name:
+            close()
         if name in VOID:
             continue
-        marks = () if not m[4] else tuple(w for v in MARKS.findall(m[4]) for w in NAME.findall(v.lower()))
-        stack.append(name)
-        names.append((*names[-1], name, *marks))
-        opened.append((*opened[-1], (count, name, marks)))
-        count += 1
+        marks = () if not attributes else tuple(w for v in MARKS.findall(attributes) for w in NAME.findall(v.lower()))
+        stack.append(Node(stack[-1], name, marks))
+        opened[name] = opened.get(name, 0) + 1
     add(page[at:])
     flush()
     return out
 
 
+_bits: dict[str, int] = {}
+
+
+def bit_of(word: str) -> int:
+    """The place of a path word among the path bits."""
+    got = _bits.get(word)
+    if got is None:
+        if len(_bits) > 50_000:
+            _bits.clear()
+        got = _bits[word] = 1 << (xxhash.xxh64_intdigest(word, 3) % PATH_DIM)
+    return got
+
+
+def kind_of(words) -> tuple:
+    """(bits, number of path words, any boilerplate word, any content word)."""
+    bits = 0
+    for w in words:
+        bits |= bit_of(w)
+    return bits, len(words), not BOILERPLATE.isdisjoint(words), not CONTENT.isdisjoint(words)
+
+
+JOINED = (operator.or_, operator.add, operator.or_, operator.or_)
+
+
 class Features:
     """Vectors of blocks; paths seen before are kept."""
 
     def __init__(self):
-        self.paths: dict[tuple, np.ndarray] = {}
+        self.paths: dict[int, np.ndarray] = {}
         self.words = WordHashes()
 
-    def path(self, path: tuple) -> np.ndarray:
-        got = self.paths.get(path)
+    def path(self, bits: int) -> np.ndarray:
+        got = self.paths.get(bits)
         if got is None:
-            got = self.paths[path] = np.zeros(PATH_DIM)
-            for word in path:
-                got[xxhash.xxh64_intdigest(word, 3) % PATH_DIM] = 1
+            raw = np.frombuffer(bits.to_bytes(PATH_DIM // 8, "little"), np.uint8)
+            got = self.paths[bits] = np.unpackbits(raw, bitorder="little").astype(float)
         return got
 
     def of(self, pages: list[list[Block]]) -> list[np.ndarray]:
@@ -166,11 +312,12 @@ class Features:
             n = np.fromiter(map(len, words), np.int64, len(words))
             buckets = (self.words.of([w for some in words for w in some]) % np.uint64(WORD_DIM)).astype(np.int64)
             spread = np.bincount(np.repeat(np.arange(len(n)), n) * WORD_DIM + buckets, minlength=len(n) * WORD_DIM)
-            out[:, :PATH_DIM] = [self.path(b.path) for b in blocks]
+            kinds = [b.kind or kind_of(b.path) for b in blocks]
+            out[:, :PATH_DIM] = [self.path(k[0]) for k in kinds]
             out[:, PATH_DIM : PATH_DIM + WORD_DIM] = spread.reshape(-1, WORD_DIM) / n[:, None]
             ends = np.array([b.text.count(".") + b.text.count(",") for b in blocks])
             out[:, -MEASURES:] = np.column_stack([
-                np.log1p(n) / 5, [b.linked for b in blocks], np.minimum(1, ends / n), [len(b.path) / 10 for b in blocks], np.ones(len(n))])
+                np.log1p(n) / 5, [b.linked for b in blocks], np.minimum(1, ends / n), [min(k[1], DEEPEST) / 10 for k in kinds], np.ones(len(n))])
         return np.split(out, np.cumsum([len(page) for page in pages])[:-1])
 
 
@@ -297,44 +444,30 @@ class Labeller:
 
 
 def plain(blocks: list[Block]) -> list[Block]:
-    """The blocks with paths that say what is content: without the marks of html and body, of the main content element
+    """The blocks with kinds that say what is content: without the marks of html and body, of the main content element
     and of the elements round it, as these hold the article and more; 'title' stays only as an element name.
 
     The main content element is the outermost article or main (by name or mark) with the most words, one without
-    boilerplate marks first.
+    boilerplate marks first. Called once on the blocks of a page.
     """
-    words, clean = {}, {}
-    for b in blocks:
-        for k, (i, name, marks) in enumerate(b.elements or ()):
-            if name in CONTENT or name not in ("html", "body") and CONTENT & set(marks):
-                words[i] = words.get(i, 0) + len(b.text.split())
-                clean[i] = not BOILERPLATE & set(marks) and not any(n in BOILERPLATE for _, n, _ in b.elements[:k])
-                break
-    main = max(words, key=lambda i: (clean[i], words[i]), default=None)
-    holders = set()
-    for b in blocks:
-        ids = [e[0] for e in b.elements or ()]
-        if main in ids:
-            holders.update(ids[: ids.index(main) + 1])
-    out = []
-    for b in blocks:
-        if b.elements is None:
-            out.append(b)
-            continue
-        path = []
-        for i, name, marks in b.elements:
-            path.append(name)
-            if name not in ("html", "body"):
-                path += [m for m in marks if m != "title" and (i not in holders or m not in BOILERPLATE)]
-        out.append(Block(tuple(path), b.text, b.linked))
-    return out
+    words: dict[Node, int] = {}
+    for node in dict.fromkeys(b.node for b in blocks if b.node):
+        if node.top:
+            words[node.top] = words.get(node.top, 0) + node.words
+    holder = max(words, key=lambda t: (BOILERPLATE.isdisjoint(t.marks) and not t.parent.named, words[t]), default=None)
+    while holder:
+        holder.holds = True
+        holder = holder.parent
+    return [b if b.node is None else Block(b.node, b.text, b.linked, b.node.settle()) for b in blocks]
 
 
 def weak_labels(blocks: list[Block]) -> list[int]:
     """1 for what element names say is content. A page that names no content element counts its long paragraphs."""
-    blocks = plain(blocks)
-    named = any(CONTENT & set(b.path) for b in blocks)
-    return [int(not BOILERPLATE & set(b.path) and bool(CONTENT & set(b.path) if named else len(b.text.split()) >= 20)) for b in blocks]
+    if any(b.node and b.kind is None for b in blocks):
+        blocks = plain(blocks)
+    kinds = [b.kind or kind_of(b.path) for b in blocks]
+    named = any(k[3] for k in kinds)
+    return [int(not k[2] and bool(k[3] if named else len(b.text.split()) >= 20)) for b, k in zip(blocks, kinds)]
 
 
 def varied(blocks: list[Block], labels: list[int], texts: list[str], rng: random.Random) -> tuple[list[Block], list[int]]:
@@ -372,7 +505,7 @@ def windows(blocks: list[Block], labels: list[int]) -> list[tuple[list[Block], l
         for b in blocks[at : at + most]:
             if got and held + len(b.text) > SAMPLE_CHARS:
                 break
-            got.append(Block(b.path, b.text[:SAMPLE_CHARS], b.linked))
+            got.append(Block(b.words if b.node is None else b.node.path(SAMPLE_PATH), b.text[:SAMPLE_CHARS], b.linked))
             held += len(b.text)
         return got, labels[at : at + len(got)]
 

@@ -1,12 +1,13 @@
 import html
 import random
 import re
+import time
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from skylag.llm.extract import DIM, Features, Labeller, blocks_of, extract, train, varied, weak_labels
+from skylag.llm.extract import DIM, Features, Labeller, blocks_of, extract, plain, train, varied, weak_labels
 
 
 def texts(page):
@@ -26,6 +27,44 @@ def test_blocks(page, want):
     assert texts(page) == want
 
 
+@pytest.mark.parametrize("page, want", [
+    ("<p>a</p><svg/><p>rest</p>", ["a", "rest"]), ("<p>a<math /> b</p>c", ["a b", "c"]),
+    ("<svg><path d='M0'/><circle></circle><text>no</text></svg>yes", ["yes"]), ("a<svg><svg>no</svg>no</svg>b", ["ab"]),
+    ("<svg><script/><g>no</g></svg>yes", ["yes"]), ("<svg><title>no</title><p>breaks out", ["breaks out"]),
+    ("<svg><foreignObject><p>no</p></foreignObject></svg>yes", ["yes"]),
+    ("<video-player></video-player><p>a<canvas-chart>b</canvas-chart>", ["a", "b"]), ("<video>no<p>no</p></video>yes", ["yes"]),
+    ("<div><button>no</div>yes", ["yes"]), ("<div>a<select><option>no<option>no</select>b</div>", ["ab"]), ("<button>no", []),
+    ("<p title=it's>don't</p><p>and 'this'</p>", ["don't", "and 'this'"]), ("<p title=it's>only one", ["only one"]),
+    ("<p a=\"b'c\" d='e\"f'>in</p>", ["in"]), ("<p title=a/>in", ["in"]), ("<p a = 'x>y' b>in", ["in"]), ("<a href=>in", ["in"]),
+    ("<p =x \"y>in", ["in"]), ("<p title=\"x>never closed", ["never closed"]),
+    ("a<!-->b<!--->c<!-- no --!>d<!---->e", ["abcde"]), ("a<!no>b<?no>c</>d</ no>e", ["abcde"]), ("a<![CDATA[no]]>b", ["ab"]),
+    ("<script>'<!--'</script >yes<style></styles>no</style>too", ["yestoo"]), ("<textarea><p>no</textarea>yes", ["yes"]),
+    ("1 <2 <é </é>x", ["1 <2 <é x"]), ("a </", ["a </"]), ("<h1\n>x</H1\t>y", ["x", "y"]), ("<b>a<p <b>c", ["a", "c"])])
+def test_what_browsers_show(page, want):
+    assert texts(page) == want
+
+
+@pytest.mark.parametrize("page, blocks", [
+    ("<a " * 350_000, 1), ("<div>x " * 100_000, 100_000), ("<div>" * 100_000 + "</p>" * 100_000 + "x", 1), ("<svg>" * 50_000 + "</math>" * 50_000, 0),
+    ("<!---->x" * 100_000, 1), ("<p a='" * 100_000, 1), ("<" * 500_000, 1), ("<script>" * 100_000, 0), ("<!-- " * 200_000, 0),
+    ("<div class='a b'><p>x</p>" * 50_000, 50_000)])
+def test_malformed_pages_take_linear_time(page, blocks):
+    start = time.process_time()
+    found = plain(blocks_of(page))
+    Features().of([found[:2000]])
+    assert len(found) == blocks and weak_labels(found) is not None
+    assert time.process_time() - start < 10
+
+
+def test_deep_pages_are_extracted(spark):
+    """Nested to 20,000 levels, beside plain pages; the article is found whole."""
+    story = [f"Part {i} of a story, told at length, with words enough to be a paragraph of it." for i in range(30)]
+    article = "<article>" + "".join(f"<p>{p}</p>" for p in story) + "</article>"
+    rows = [(0, "<div>" * 20_000 + article), (1, f"<body><nav>menu</nav>{article}</body>")]
+    got = {r.page_id: r.text for r in extract(spark.createDataFrame(rows, "page_id long, html string")).collect()}
+    assert got[1] == "\n".join(story) and got[0] in (got[1], "")
+
+
 def test_paths_and_links():
     got = blocks_of('<body><nav class="top-menu"><a href=x>home</a></nav><article id=main><p>text</article><p>after')
     assert [b.path for b in got] == [("body", "nav", "top", "menu"), ("body", "article", "main", "p"), ("body", "p")]
