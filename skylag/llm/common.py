@@ -23,8 +23,31 @@ def shards_of(spark: SparkSession, factor: int = 1) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200"))) * factor
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Row slices holding about ``limit`` bytes of ``column``; a longer text comes alone."""
+#: What a worker keeps from one task to the next: one object at most, under its key.
+_kept: dict = {}
+
+
+def kept(key, make):
+    """The object under ``key``, made anew if this worker does not keep it."""
+    if key not in _kept:
+        release()
+        _kept[key] = make()
+    return _kept[key]
+
+
+def release(but=None) -> None:
+    """Give up what is kept under another key, and memory that Arrow holds back."""
+    if any(key != but for key in _kept):
+        _kept.clear()
+    pa.default_memory_pool().release_unused()
+
+
+def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BYTES, keep=None) -> Iterator[pa.RecordBatch]:
+    """Row slices holding about ``limit`` bytes of ``column``; a longer text comes alone.
+
+    Workers are used for one job after the other: what another operator kept is given up first, unless ``keep`` names it.
+    """
+    release(but=keep)
     for batch in batches:
         if not batch.num_rows:
             continue

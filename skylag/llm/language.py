@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from skylag.llm.common import hash_share, slices
+from skylag.llm.common import hash_share, kept, slices
 
 CLASSES = 64
 BLOCK = 1024
@@ -133,9 +133,6 @@ class CrossParser:
         return self.phrases(texts) * self.bits / size[:, None]
 
 
-_parsers: dict[int, CrossParser] = {}
-
-
 def has_letter(text: str | None) -> bool:
     return bool(text) and (ASCII_LETTER.search(text) is not None or any(map(str.isalpha, text)))
 
@@ -166,14 +163,11 @@ def identify(docs: DataFrame, samples: list[tuple[str, bytes]], text: str = "tex
     """``docs`` with lang_pred and score, which replace columns of the same name."""
     rest = [c for c in docs.columns if c not in ("lang_pred", "score")]
     packed = docs.sparkSession.sparkContext.broadcast(samples)
-    key = hash(tuple(samples))
+    key = ("parser", hash(tuple(samples)))
 
     def run(batches):
-        parser = _parsers.get(key)
-        if parser is None:
-            _parsers.clear()
-            parser = _parsers[key] = CrossParser(packed.value)
-        for part in slices(batches, text):
+        parser = kept(key, lambda: CrossParser(packed.value))
+        for part in slices(batches, text, keep=key):
             raw = part.column(text).to_pylist()
             known = [i for i, t in enumerate(raw) if parser.langs and has_letter(t)]
             pred, score = [UNKNOWN] * len(raw), [0.0] * len(raw)

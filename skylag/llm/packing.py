@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from skylag.llm.common import slices, texts_of
+from skylag.llm.common import kept, slices, texts_of
 from skylag.session import stage
 
 CAPACITY = 4096
@@ -38,7 +38,7 @@ POPULATION = 4
 #: Share of the capacity from which a bin is passed on whole.
 WELL_FILLED = 0.999
 #: Distinct text chunks whose ids a worker keeps.
-CACHED_CHUNKS = 1_000_000
+CACHED_CHUNKS = 500_000
 #: Letters below this are the same for every Unicode version, composed and one code point each.
 LATIN_END = "\u0250"
 
@@ -59,7 +59,7 @@ class ChunkTokens(dict):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.path, self.tokenizer = path, Tokenizer.from_file(path)
+        self.tokenizer = Tokenizer.from_file(path)
         # lower-case words of plain Latin letters need neither the normaliser nor the splitting pattern
         self.tokenize = self.tokenizer.model.tokenize
         self.stops = {x: self._encoded(x.decode()) for x in (b".", b",")}
@@ -124,23 +124,15 @@ class ChunkTokens(dict):
         return [b"".join(map(self.__getitem__, p)) + end for p in parts]
 
 
-_tokens: list[ChunkTokens] = []
-
-
-def chunk_tokens(path: str) -> ChunkTokens:
-    if not _tokens or _tokens[0].path != path:
-        _tokens[:] = [ChunkTokens(path)]
-    return _tokens[0]
-
-
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, keep_ids: bool = False,
            text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32) of each piece, and its ids with ``keep_ids``."""
 
     def run(batches):
-        for part in slices(batches, "text", 4_000_000):
+        chunk_tokens = kept(("tokens", tokenizer), lambda: ChunkTokens(tokenizer))
+        for part in slices(batches, "text", 4_000_000, keep=("tokens", tokenizer)):
             out = {"doc_id": [], "piece": [], "start": [], "length": [], "ids_crc32": [], "ids": []}
-            all_ids = chunk_tokens(tokenizer).of(texts_of(part))
+            all_ids = chunk_tokens.of(texts_of(part))
             for i, ids in zip(part.column("doc_id").to_pylist(), all_ids):
                 for k, at in enumerate(range(0, len(ids), 4 * capacity)):
                     cut = ids[at : at + 4 * capacity]
