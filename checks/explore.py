@@ -12,8 +12,10 @@ from skylag.operators import explore as ex
 from skylag.operators import flights as fl
 from skylag.operators import nulls, ordered, relations
 from skylag.operators import profile as pf
+from skylag.operators import quantiles as qt
 from skylag.operators import split as sp
 from skylag.operators.weather import settled
+from skylag.session import stage
 from skylag.sources import tables as tb
 
 # --- grouped delays over bronze flights -------------------------------------
@@ -80,6 +82,19 @@ def kind_of(c):
     return "FLOAT" if c in SILVER_DOUBLES | {"DEP_TIME"} else "INT"
 
 
+def histogram_sql(table, column, where="TRUE", by="", buckets=10):
+    """Equal-width and quantile histogram of one column; ``by`` is a list of more output columns."""
+    v, extra = f'CAST("{column}" AS DOUBLE)', f"{by}, " if by else ""
+    t = f"(SELECT {v} AS v FROM {table} WHERE {where} AND {v} IS NOT NULL)"
+    ends = f"(SELECT CASE WHEN min(v) = max(v) THEN min(v) - 0.5 ELSE min(v) END AS a, CASE WHEN min(v) = max(v) THEN max(v) + 0.5 ELSE max(v) END AS z FROM {t})"
+    cuts = ", ".join(str(i / buckets) for i in range(buckets + 1))
+    return f"""SELECT {extra}'{column}' AS feature, 'STANDARD' AS kind, CAST(i AS INT) AS bucket, {r(f'a+i*((z-a)/{buckets})','lo')}, {r(f'a+(i+1)*((z-a)/{buckets})','hi')},
+CAST(coalesce(k, 0) AS DOUBLE) AS n FROM range({buckets}) g(i) CROSS JOIN {ends} e LEFT JOIN
+(SELECT least(floor((v-a)/((z-a)/{buckets})), {buckets - 1}) AS b, count(*) AS k FROM {t}, {ends} GROUP BY 1) c ON b = i WHERE a IS NOT NULL
+UNION ALL SELECT {extra}'{column}' AS feature, 'QUANTILES' AS kind, CAST(i AS INT) AS bucket, {r('q[i+1]','lo')}, {r('q[i+2]','hi')}, {r(f'n/{buckets}.0','n')}
+FROM (SELECT quantile_cont(v, [{cuts}]) AS q, count(*) AS n FROM {t}), range({buckets}) g(i) WHERE n > 0"""
+
+
 def summary_sql(table, columns):
     return " UNION ALL ".join(
         f"""SELECT feature, n - missing AS "count", mean, std AS stddev, "min", q25, median, q75, "max" FROM ({stats_sql(table, c, kind_of(c))})"""
@@ -210,6 +225,11 @@ FROM u, b GROUP BY 1, 2""")
     def _(spark, sf, d=d):
         return pf.numeric_stats(settled(silver(spark, sf, d), MEASURE_COLS), NUMERIC_COLS)
 
+    @query(f"feature_histograms_{d}", f"{ctes(d + '6')} {' UNION ALL '.join(histogram_sql(d + '6', c) for c in NUMERIC_COLS)}")
+    def _(spark, sf, d=d):
+        rows = stage(settled(silver(spark, sf, d), MEASURE_COLS).select(*NUMERIC_COLS), "silver")
+        return qt.histograms(rows, NUMERIC_COLS)
+
     @query(f"dropna_any_{d}", f"{base} SELECT {cols(KEYED)} FROM {d} WHERE " + " AND ".join(f'"{c}" IS NOT NULL' for c in SILVER_COLS))
     def _(spark, sf, d=d):
         return silver(spark, sf, d).na.drop()
@@ -385,9 +405,9 @@ def _(spark, sf):
 @query("profile_top_values", f"{ctes('clean')} " + " UNION ALL ".join(
     f"""(SELECT '{c}' AS feature, CAST({c} AS VARCHAR) AS text, CAST(count(*) AS BIGINT) AS n,
 CAST(row_number() OVER (ORDER BY count(*) DESC, CAST({c} AS VARCHAR)) AS INT) AS place FROM clean GROUP BY 2 ORDER BY place LIMIT 5)"""
-    for c in ("ORIGIN", "DEST", "OP_UNIQUE_CARRIER", "FL_DATE")))
+    for c in PROFILE_TEXT))
 def _(spark, sf):
-    return pf.top_values(bronze(spark, sf), ["ORIGIN", "DEST", "OP_UNIQUE_CARRIER", "FL_DATE"])
+    return pf.top_values(bronze(spark, sf), PROFILE_TEXT)
 
 
 @query("sort_by_agg", f"{ctes('clean')} SELECT OP_UNIQUE_CARRIER, CAST(count(*) AS BIGINT) AS flights FROM clean GROUP BY 1 ORDER BY flights")

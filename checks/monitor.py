@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from checks.etl import KEYED, bronze, silver
-from checks.explore import ORDER_SQL, kind_of, stats_sql
+from checks.explore import ORDER_SQL, histogram_sql, kind_of, stats_sql
 from checks.registry import query
 from checks.sql import MEASURE_COLS, NUMERIC_COLS, SILVER_COLS, cols, ctes, r
 from checks import fixtures as fx
@@ -11,6 +11,7 @@ from skylag.operators import flights as fl
 from skylag.operators import model as md
 from skylag.operators import monitor as mon
 from skylag.operators import profile as pf
+from skylag.operators import quantiles as qt
 from skylag.operators import relations
 from skylag.operators import validate as vl
 from skylag.operators.distributions import group_quantiles
@@ -128,6 +129,13 @@ def _(spark, sf):
     return group_quantiles(stacked(spark, sf), "stage", "residual", QUARTS)
 
 
+@query("residual_histogram", f"{SCORED} " + " UNION ALL ".join(
+    histogram_sql("scored", "residual", f"stage = '{name}'", f"'{name}' AS stage") for name in ("staging", "prod")))
+def _(spark, sf):
+    rows = stage(stacked(spark, sf).select("stage", "residual"), "residuals")
+    return qt.histograms(rows, ["residual"], by=["stage"])
+
+
 def fill_expr(c):
     back = f'last_value("{c}" IGNORE NULLS) OVER ({ORDER_SQL} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)'
     ahead = f'first_value("{c}" IGNORE NULLS) OVER ({ORDER_SQL} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)'

@@ -1,9 +1,8 @@
 """Histograms, densities and box statistics.
 
 Binned results take the value range first and then count per bin, so what is
-shuffled has the size of the bins. Exact quantiles need every distinct value
-and start from (value, n) counts that merge on the map side, kept as a written
-table. Only ranges and moments reach the driver.
+shuffled has the size of the bins; exact quantiles do so with finer and finer
+bins. Only ranges and moments reach the driver.
 """
 
 import math
@@ -11,7 +10,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skylag.operators.ordered import ROWS_PER_CHUNK, exact_quantiles
+from skylag.operators.quantiles import column_stats, exact_quantiles, quantiles_of
 from skylag.session import stage
 
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
@@ -110,25 +109,22 @@ def hist2d(df: DataFrame, x: str, y: str, bins_x: int, bins_y: int) -> DataFrame
     ).agg(F.count(F.lit(1)).alias("flights"))
 
 
-def box_stats(df: DataFrame, key: str, val: str, rows: int = ROWS_PER_CHUNK) -> DataFrame:
+def box_stats(df: DataFrame, key: str, val: str) -> DataFrame:
     """Per key: quartiles, whisker ends within 1.5 IQR, number of values beyond them."""
-    counts = stage(
-        df.where(F.col(val).isNotNull()).groupBy(key, F.col(val).cast("double").alias("value"))
-        .agg(F.count(F.lit(1)).alias("n")), "counts")
-    quartiles = exact_quantiles(counts, [key], QUARTILES, rows=rows)
+    table = stage(df.where(F.col(key).isNotNull() & F.col(val).isNotNull()).select(key, F.col(val).cast("double").alias(val)), "box")
     reach = 1.5 * (F.col("q3") - F.col("q1"))
-    inside = F.col("value").between(F.col("q1") - reach, F.col("q3") + reach)
-    return counts.join(quartiles, key).groupBy(key, "q1", "median", "q3").agg(
-        F.min(F.when(inside, F.col("value"))).alias("whisker_lo"),
-        F.max(F.when(inside, F.col("value"))).alias("whisker_hi"),
-        F.sum(F.when(inside, 0).otherwise(F.col("n"))).alias("outliers"),
+    # one row per key: broadcast by its size, or else shuffled
+    fences = stage(exact_quantiles(table, [val], QUARTILES, [key]).drop("feature"), "fences")
+    inside = F.col(val).between(F.col("q1") - reach, F.col("q3") + reach)
+    return table.join(fences, key).groupBy(key, "q1", "median", "q3").agg(
+        F.min(F.when(inside, F.col(val))).alias("whisker_lo"),
+        F.max(F.when(inside, F.col(val))).alias("whisker_hi"),
+        F.count_if(~inside).alias("outliers"),
     )
 
 
-def group_quantiles(df: DataFrame, key: str, val: str, probs: dict[str, float], rows: int = ROWS_PER_CHUNK) -> DataFrame:
+def group_quantiles(df: DataFrame, key: str, val: str, probs: dict[str, float]) -> DataFrame:
     """Count and quantiles of a value per key."""
-    counts = stage(
-        df.where(F.col(val).isNotNull()).groupBy(key, F.col(val).cast("double").alias("value"))
-        .agg(F.count(F.lit(1)).alias("n")), "counts")
-    sizes = counts.groupBy(key).agg(F.sum("n").alias("n"))
-    return sizes.join(exact_quantiles(counts, [key], probs, rows=rows), key)
+    table = stage(df.where(F.col(key).isNotNull() & F.col(val).isNotNull()).select(key, F.col(val).cast("double").alias(val)), "values")
+    stats = stage(column_stats(table, [val], [key]), "stats")
+    return stats.select(key, "n").join(quantiles_of(table, stats, [val], probs, [key]).drop("feature"), key)

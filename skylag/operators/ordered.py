@@ -95,41 +95,3 @@ def row_index(df: DataFrame, order: list[Column], by: list[str] = (), out: str =
             *keys, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
         numbered = _join_edges(numbered, edges, keys).withColumn(out, F.col(out) + F.col("offset"))
     return numbered.select(*df.columns, out)
-
-
-def exact_quantiles(
-    counts: DataFrame, keys: list[str], probs: dict[str, float], value: str = "value", rows: int = ROWS_PER_CHUNK
-) -> DataFrame:
-    """Interpolated quantiles per key out of (keys, value, n) counts.
-
-    ``probs`` maps output names to fractions. A key's distinct values may span
-    many chunks; ranks are offset by what earlier chunks of that key hold.
-    """
-    present = counts.where(F.col(value).isNotNull())
-    chunks, pieces = order_chunks(present, [*[F.col(k) for k in keys], F.col(value)], rows)
-    within = Window.partitionBy("chunk", *keys)
-    upto = F.sum("n").over(within.orderBy(value).rowsBetween(Window.unboundedPreceding, 0))
-    if pieces == 1:
-        ranked = chunks.withColumns({"upto": upto, "total": F.sum("n").over(within)})
-    else:
-        group = Window.partitionBy(*keys)
-        edges = chunks.groupBy("chunk", *keys).agg(F.sum("n").alias("held")).select(
-            "chunk", *keys,
-            F.coalesce(
-                F.sum("held").over(group.orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-            ).alias("before"),
-            F.sum("held").over(group).alias("total"),
-        )
-        ranked = _join_edges(chunks.withColumn("upto", upto), edges, ["chunk", *keys]).withColumn(
-            "upto", F.col("upto") + F.col("before"))
-
-    def at(rank):
-        return F.max(F.when((F.col("upto") - F.col("n") <= rank) & (rank < F.col("upto")), F.col(value)))
-
-    picks, finish = [], []
-    for name, p in probs.items():
-        place = F.lit(float(p)) * (F.col("total") - 1)
-        picks += [at(F.floor(place)).alias(f"{name}_lo"), at(F.ceil(place)).alias(f"{name}_hi")]
-        frac = place - F.floor(place)
-        finish.append((F.col(f"{name}_lo") + (F.col(f"{name}_hi") - F.col(f"{name}_lo")) * frac).alias(name))
-    return ranked.groupBy(*keys).agg(F.max("total").alias("total"), *picks).select(*keys, *finish)

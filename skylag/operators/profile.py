@@ -5,13 +5,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skylag.operators.distributions import QUARTILES, value_counts
-from skylag.operators.ordered import ROWS_PER_CHUNK, exact_quantiles
+from skylag.operators.quantiles import column_stats, quantiles_of
 from skylag.session import stage
 
 _INTS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _FLOATS = (T.FloatType, T.DoubleType, T.DecimalType)
 # Type names of the inferred schema.
 INT, FLOAT, BYTES = "INT", "FLOAT", "BYTES"
+STATS = ("feature string, n long, missing long, distinct_values long, zeros long, mean double, std double, min double, "
+         "q25 double, median double, q75 double, max double, top_value double, type string")
 
 
 def feature_types(df: DataFrame) -> dict[str, str]:
@@ -36,35 +38,26 @@ def _typed(df: DataFrame, types: dict[str, str]) -> DataFrame:
     return df.withColumn("type", F.try_element_at(names, F.col("feature")))
 
 
-def numeric_stats(df: DataFrame, cols: list[str] | None = None, rows: int = ROWS_PER_CHUNK) -> DataFrame:
-    """One row per numeric column: sizes, moments, zeros, range, quartiles, most frequent value."""
-    cols = cols or numeric_columns(df)
-    counts = stage(value_counts(df, cols), "counts")
-    return _typed(numeric_stats_of(counts, rows), feature_types(df))
-
+def numeric_stats(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
+    """One row per numeric column: sizes, moments, zeros, range, quartiles, most frequent value.
 
-def numeric_stats_of(counts: DataFrame, rows: int = ROWS_PER_CHUNK) -> DataFrame:
-    """The same from a written (feature, value, n) table."""
+    The columns are written once. Sizes, moments and ranges come from one aggregate, quartiles from counts per bin; only
+    the distinct and the most frequent values need counts per value, which no sort and no second reading follows.
+    """
+    cols = cols or numeric_columns(df)
+    if not cols:
+        return df.sparkSession.createDataFrame([], STATS)
+    table = stage(df.select(*cols), "numbers")
+    stats = stage(column_stats(table, cols).where("rows > 0"), "stats")
+    # one row per column of the table in each of these, whatever its size
+    quartiles = quantiles_of(table, stats, cols, QUARTILES)
     n, value = F.col("n"), F.col("value")
-    present = F.when(value.isNotNull(), n).otherwise(0)
-    base = counts.groupBy("feature").agg(
-        F.sum("n").alias("n"),
-        (F.sum("n") - F.sum(present)).alias("missing"),
-        F.count("value").alias("distinct_values"),
-        F.sum(F.when(value == 0, n).otherwise(0)).alias("zeros"),
-        F.try_divide(F.sum(value * n), F.sum(present)).alias("mean"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-        F.min_by("value", F.when(value.isNotNull(), F.struct(-n, value))).alias("top_value"),
-    )
-    # One row per column of the table: small whatever the table's size.
-    small = F.broadcast(base.select("feature", "mean"))
-    spread = counts.join(small, "feature").groupBy("feature").agg(
-        F.sqrt(F.try_divide(F.sum(n * F.pow(value - F.col("mean"), 2)), F.sum(present) - 1)).alias("std"))
-    quartiles = exact_quantiles(counts, ["feature"], QUARTILES, rows=rows)
-    return base.join(F.broadcast(spread), "feature").join(F.broadcast(quartiles), "feature", "left").select(
-        "feature", "n", "missing", "distinct_values", "zeros", "mean", "std", "min",
-        F.col("q1").alias("q25"), "median", F.col("q3").alias("q75"), "max", "top_value")
+    values = value_counts(table, cols).groupBy("feature").agg(
+        F.count("value").alias("distinct_values"), F.min_by("value", F.when(value.isNotNull(), F.struct(-n, value))).alias("top_value"))
+    found = stats.join(F.broadcast(values), "feature").join(F.broadcast(quartiles), "feature", "left").select(
+        "feature", F.col("rows").alias("n"), (F.col("rows") - n).alias("missing"), "distinct_values", "zeros", "mean", "std", F.col("lo").alias("min"),
+        F.col("q1").alias("q25"), "median", F.col("q3").alias("q75"), F.col("hi").alias("max"), "top_value")
+    return _typed(found, feature_types(df))
 
 
 def text_counts(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
@@ -89,12 +82,10 @@ def text_stats_of(counts: DataFrame) -> DataFrame:
     )
 
 
-def profile(df: DataFrame, rows: int = ROWS_PER_CHUNK) -> DataFrame:
+def profile(df: DataFrame) -> DataFrame:
     """Statistics of every column; fields that do not fit a column's type are NULL."""
-    types = feature_types(df)
-    numbers = _typed(numeric_stats_of(stage(value_counts(df, numeric_columns(df)), "counts"), rows), types)
-    texts = _typed(text_stats_of(text_counts(df)), types)
-    return numbers.unionByName(texts, allowMissingColumns=True)
+    texts = _typed(text_stats_of(text_counts(df)), feature_types(df))
+    return numeric_stats(df).unionByName(texts, allowMissingColumns=True)
 
 
 def top_values(df: DataFrame, cols: list[str], k: int = 5) -> DataFrame:
@@ -107,8 +98,10 @@ def top_values(df: DataFrame, cols: list[str], k: int = 5) -> DataFrame:
     return counts.withColumn("place", F.row_number().over(order)).where(F.col("place") <= k)
 
 
-def summary(df: DataFrame, cols: list[str], rows: int = ROWS_PER_CHUNK) -> DataFrame:
-    """count, mean, stddev, min, quartiles and max per column."""
-    return numeric_stats(df, cols, rows).select(
-        "feature", (F.col("n") - F.col("missing")).alias("count"), "mean", F.col("std").alias("stddev"), "min",
-        "q25", "median", "q75", "max")
+def summary(df: DataFrame, cols: list[str]) -> DataFrame:
+    """count, mean, stddev, min, quartiles and max per column; no value is shuffled."""
+    table = stage(df.select(*cols), "numbers")
+    stats = stage(column_stats(table, cols).where("rows > 0"), "stats")
+    return stats.join(F.broadcast(quantiles_of(table, stats, cols, QUARTILES)), "feature", "left").select(
+        "feature", F.col("n").alias("count"), "mean", F.col("std").alias("stddev"), F.col("lo").alias("min"),
+        F.col("q1").alias("q25"), "median", F.col("q3").alias("q75"), F.col("hi").alias("max"))

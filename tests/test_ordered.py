@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from checks.explore import FILL, time_order
 from skylag.operators import distributions as ds
-from skylag.operators.ordered import exact_quantiles, ffill, fill_both, row_index
+from skylag.operators.ordered import ffill, fill_both, row_index
 
 KEY = ["ORIGIN_AIRPORT_ID"]
 
@@ -61,21 +61,3 @@ def test_row_index_over_chunks(silver_rows, by):
     window = Window.partitionBy(*by).orderBy(*time_order()) if by else Window.partitionBy(F.lit(1)).orderBy(*time_order())
     plain = cut.withColumn("index", (F.row_number().over(window) - 1).cast("long"))
     assert rows_of(many) == rows_of(plain)
-
-
-@pytest.mark.parametrize("rows", [25, 10**6])
-def test_quantiles_match_numpy(spark, silver_rows, rows):
-    cols = ["DEP_DELAY", "avg_temp_f", "tot_precip_mm", "YEAR"]
-    counts = ds.value_counts(silver_rows, cols)
-    probs = {"p0": 0.0, "p10": 0.1, "p50": 0.5, "p99": 0.99, "p100": 1.0}
-    got = {r["feature"]: r for r in exact_quantiles(counts, ["feature"], probs, rows=rows).collect()}
-    frame = silver_rows.select(*cols).toPandas()
-    for c in cols:
-        want = np.quantile(frame[c].dropna().to_numpy(float), list(probs.values()))
-        assert np.allclose([got[c][p] for p in probs], want)
-
-
-def test_box_with_many_chunks(silver_rows):
-    one = ds.box_stats(silver_rows, "ORIGIN_AIRPORT_ID", "DEP_DELAY")
-    many = ds.box_stats(silver_rows, "ORIGIN_AIRPORT_ID", "DEP_DELAY", rows=40)
-    assert rows_of(one) == rows_of(many)
