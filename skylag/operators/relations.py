@@ -7,18 +7,15 @@ from pyspark.sql import functions as F
 def corr_long(df: DataFrame, cols: list[str]) -> DataFrame:
     """Pearson correlation (a, b, corr) of all column pairs over rows where both are present.
 
-    Each row becomes one row per first column, carrying all columns, so the
-    aggregate holds one fixed set of correlations per first column and merges
-    on the map side into as many groups as there are columns.
+    Each pair is one mergeable state (count, means, co-moments) of a single aggregate, so a row is read once as it is and
+    a task sends one row. Only pairs in one order are computed; the others are the same numbers.
     """
-    values = [F.col(c).cast("double").alias(f"v{i}") for i, c in enumerate(cols)]
-    firsts = F.array(*[
-        F.struct(F.lit(c).alias("a"), F.col(f"v{i}").alias("va")) for i, c in enumerate(cols)
-    ])
-    wide = df.select(*values).select("*", F.inline(firsts)).groupBy("a").agg(
-        *[F.corr("va", f"v{i}").alias(f"c{i}") for i in range(len(cols))])
-    seconds = F.array(*[F.struct(F.lit(c).alias("b"), F.col(f"c{i}").alias("corr")) for i, c in enumerate(cols)])
-    return wide.select("a", F.inline(seconds))
+    values = df.select(*[F.col(c).cast("double").alias(f"v{i}") for i, c in enumerate(cols)])
+    pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
+    wide = values.agg(*[F.corr(f"v{i}", f"v{j}").alias(f"c{i}_{j}") for i, j in pairs])
+    return wide.select(F.inline(F.array(*[
+        F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"c{min(i, j)}_{max(i, j)}").alias("corr"))
+        for i, a in enumerate(cols) for j, b in enumerate(cols)])))
 
 
 def ols(df: DataFrame, x: str, y: str, by: str | None = None) -> DataFrame:
