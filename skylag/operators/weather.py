@@ -90,6 +90,28 @@ def hourly_weather(df: DataFrame, null_sentinels: bool = False) -> DataFrame:
     return report_measures(df, null_sentinels).groupBy("time", "call_sign").agg(*hourly_aggregates())
 
 
+# Means and the sum of an hour, by the measure each comes from.
+_MEANS = {"avg_temp_f": "temp_f", "avg_wnd_mps": "wnd_mps", "avg_vis_m": "vis_m", "avg_slp_hpa": "slp_hpa", "avg_dewpt_f": "dew_pt_f"}
+_TOTAL = {"tot_precip_mm": "precip_mm"}
+HOUR_KEYS = ["time", "call_sign"]
+HOUR_SUMS = [f"{k}_{c}" for c in _MEANS.values() for k in ("sum", "n")] + [f"sum_{c}" for c in _TOTAL.values()]
+PARTIAL_HOURS = "time timestamp_ntz, call_sign string, " + ", ".join(f"{c} {'long' if c.startswith('n_') else 'double'}" for c in HOUR_SUMS)
+
+
+def partial_hours(measured: DataFrame) -> DataFrame:
+    """Sums and counts per (hour, station); those of several batches add up to those of all their reports."""
+    return measured.groupBy(*HOUR_KEYS).agg(*[
+        f(c).alias(f"{k}_{c}") for c in _MEANS.values() for k, f in (("sum", F.sum), ("n", F.count))
+    ], *[F.sum(c).alias(f"sum_{c}") for c in _TOTAL.values()])
+
+
+def finished_hours(partial: DataFrame) -> DataFrame:
+    """Hourly weather from added-up partial hours."""
+    out = {name: F.try_divide(F.col(f"sum_{c}"), F.col(f"n_{c}")) for name, c in _MEANS.items()}
+    out |= {name: F.col(f"sum_{c}") for name, c in _TOTAL.items()}
+    return partial.select(*HOUR_KEYS, *[out[m].alias(m) for m in MEASURES])
+
+
 def settled(df: DataFrame, cols: list[str], places: int = 6) -> DataFrame:
     """Means and sums to fixed places, so equal readings compare equal.
 

@@ -19,24 +19,25 @@ def report(minutes, tenths=100, station="KJFK "):
 
 
 def test_late_reports(spark):
-    """Complete mode takes a late report in; the windowed job drops what comes after its hour was closed."""
+    """The table of hours takes a late report in; the windowed job drops what comes after its hour was closed."""
     source = new_path(spark, "reports")
     full, windowed = new_path(spark, "full"), new_path(spark, "windowed")
+    table = st.hours_table(spark, full)
     drops = [[report(10), report(70), report(60 * 9)], [report(20, 300), report(60 * 9 + 5, 200)], [report(60 * 15)]]
     seen = []
     for drop in drops:
         spark.createDataFrame(drop, SCHEMA).coalesce(1).write.mode("append").parquet(source)
         stream = st.read_stream(spark, source, spark.read.parquet(source).schema)
-        assert st.drain(st.write_complete(st.weather_stream(stream), full, full + "-c", "full"))
+        assert st.drain(st.write_hours(stream, table, full + "-c", "full"))
         assert st.drain(st.write_append(st.weather_stream_windowed(stream), windowed, windowed + "-c"))
-        seen.append(({(r.time.hour, round(r.avg_temp_f, 3)) for r in spark.read.parquet(full).collect()},
+        seen.append(({(r.time.hour, round(r.avg_temp_f, 3)) for r in st.read_hours(spark, full).collect()},
                      {(r.time.hour, round(r.avg_temp_f, 3)) for r in spark.read.parquet(windowed).collect()}))
     early, ten, twenty = 50.0, 50.0, 68.0  # 10 C and 20 C in Fahrenheit
     assert seen[0] == ({(0, early), (1, early), (9, ten)}, {(0, early), (1, early)})
     assert seen[1] == ({(0, twenty), (1, early), (9, 59.0)}, {(0, early), (1, early)})
     assert seen[2] == ({(0, twenty), (1, early), (9, 59.0), (15, early)}, {(0, early), (1, early), (9, 59.0)})
     batch = wx.hourly_weather(spark.read.parquet(source))
-    assert batch.exceptAll(spark.read.parquet(full)).count() == 0
+    assert batch.exceptAll(st.read_hours(spark, full)).count() == 0
 
 
 def test_several_batches_in_one_run(spark):
