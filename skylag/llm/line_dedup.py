@@ -236,11 +236,12 @@ class LineIndex:
 
         ``keep`` is the largest doc_id of a changed key; ``drop`` says that the refs replace those of the touched shards.
         """
-        key = ["shard", "k1", "k2"]
+        key, entry = ["shard", "k1", "k2"], self.ledger.entry()
         none = {c: F.lit(None).cast("long") for c in ("n_docs", "keep", "change", "fresh")}
-        old = self._table(COUNTS, touched).withColumns({c: none[c] for c in ("change", "fresh")})
-        both = old.unionByName(changes.withColumns({c: none[c] for c in ("n_docs", "keep")})).groupBy(*key).agg(
-            *[F.max(c).alias(c) for c in none])
+        both = changes.withColumns({c: none[c] for c in ("n_docs", "keep")})
+        if entry[PART]:
+            old = self._table(COUNTS, touched).withColumns({c: none[c] for c in ("change", "fresh")})
+            both = old.unionByName(both).groupBy(*key).agg(*[F.max(c).alias(c) for c in none])
         before, now = F.coalesce("n_docs", F.lit(0)), F.coalesce("n_docs", F.lit(0)) + F.coalesce("change", F.lit(0))
         merged = stage(both.select(*key, before.alias("before"), now.alias("n_docs"), F.when(F.col("change").isNull(), F.col("keep")).otherwise(keep).alias("keep")), "merged")
         counts = self._write(COUNTS, merged.where("n_docs > 0").select("shard", "k1", "k2", "n_docs", "keep"))
@@ -248,7 +249,6 @@ class LineIndex:
         crossed = merged.where(passes | (F.col("before") >= self.min_docs)).select(
             "shard", "k1", F.when(~passes, -1).when(F.col("before") < self.min_docs, 1).otherwise(0).alias("way"))
         filters = self._write(FILTERS, _filters(crossed, self._table(FILTERS, touched)))
-        entry = self.ledger.entry()
         gone = [n for n in entry[PART] if n.split("-")[1] in touched and (drop or n.split("-")[0] != REFS)]
         kept = {n: path for n, path in entry[PART].items() if n not in gone}
         self.ledger.commit(entry | {PART: kept | refs | counts | filters, MARK: entry[MARK] | {"shards": str(self.shards)}})
