@@ -4,7 +4,7 @@ Texts are read once into slices of word numbers. Words are counted in shards of
 distinct words, the training count and a number. Its distinct bigrams then go, each once with its training count,
 to the shard of their context, where they become a trie of two levels: contexts with a monotone pointer to their successors, and
 successors, made monotone by adding the end of the context before, each with a quantised smoothed probability. Both
-sequences are Elias-Fano coded into a file that is memory-mapped; a bigram is looked up by a successor search inside its
+sequences are Elias-Fano coded into a memory map and searched as they are; a bigram is looked up by a successor search inside its
 context's range. The codes travel back, and documents are summed in their slices. So what moves is each slice's distinct
 n-grams, never a row per token, and no model has to fit on one machine.
 
@@ -19,7 +19,7 @@ Defined cases: a null or empty text is its end token; documents with a null doc_
 rows are each scored, and each learned from; extra columns are ignored; an empty table gives an empty result.
 """
 
-import tempfile
+import mmap
 
 import numpy as np
 import pandas as pd
@@ -32,23 +32,39 @@ from skylag.llm.common import WordHashes, mix, pack, pack_sorted, shards_of, sli
 from skylag.session import stage
 
 DISCOUNT = 0.9
-#: Probabilities are kept to a 32nd of a decade in a byte; code 0 is an unseen bigram.
-STEPS_PER_DECADE = 32
+#: Probabilities are kept in a byte; code 0 is an unseen bigram. The others are rounded down to a 32nd of a decade as far as
+#: FINE steps go, which is one in a million, and from there to a quarter of a decade, to below 1e-21.
+STEPS_PER_DECADE, FINE, COARSE = 32, 192, 8
 SLICE = 4_000_000
 #: The end of a text, which no word equals as it holds a space.
 END = b" end"
 
 
+def code_of(log10: np.ndarray) -> np.ndarray:
+    """Codes of probabilities, from 1 on."""
+    steps = np.ceil(-log10 * STEPS_PER_DECADE - 1e-9)
+    coarse = FINE + np.ceil((steps - FINE) / COARSE)
+    return (np.clip(np.where(steps <= FINE, steps, coarse), 0, 254) + 1).astype(np.uint8)
+
+
+_level = np.arange(-1, 255)
+#: The probability of each code.
+PROBABILITY = np.where(_level < 0, 0.0, 10.0 ** (-np.where(_level <= FINE, _level, FINE + (_level - FINE) * COARSE) / STEPS_PER_DECADE))
+
+
 class EliasFano:
-    """An ascending sequence as low bits and a bit vector of unary coded high parts."""
+    """An ascending sequence as low bits and a bit vector of unary coded high parts.
+
+    It is queried as it is stored: a directory of the ones before each 64-bit word, a bit a value or so, finds the word, and
+    halving finds the place in it.
+    """
 
     def __init__(self, n: int, low_bits: int, low: np.ndarray, high: np.ndarray):
         self.n, self.low_bits, self.low, self.high = n, low_bits, low, high
-        marks = np.unpackbits(high, bitorder="little")
-        ones = np.flatnonzero(marks)[:n]
-        self._parts = ones - np.arange(n)  # high part of each value
-        zeros = np.flatnonzero(marks == 0)
-        self._before = zeros - np.arange(len(zeros))  # values whose high part is at most the zero's number
+        self.words = high.view(np.uint64)
+        self.ones = np.zeros(len(self.words) + 1, np.uint32 if 64 * len(self.words) < 1 << 32 else np.uint64)
+        np.cumsum(np.bitwise_count(self.words), out=self.ones[1:])
+        self.zeros = 64 * len(self.words) - n
 
     @classmethod
     def encode(cls, values: np.ndarray) -> "EliasFano":
@@ -59,11 +75,39 @@ class EliasFano:
         for i in range(0, n, 1 << 15):  # in parts: all bits of a value take eight times its room
             some = values[i : i + (1 << 15)].astype("<u8")
             bits[i : i + len(some)] = np.unpackbits(some.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")[:, :low_bits]
-        low = np.packbits(bits, bitorder="little")
         parts = (values >> np.uint64(low_bits)).astype(np.int64)
-        marks = np.zeros(n + (top >> low_bits) + 2, np.uint8)
+        marks = np.zeros(-(-(n + (top >> low_bits) + 2) // 64) * 64, np.uint8)
         marks[parts + np.arange(n)] = 1
-        return cls(n, low_bits, low, np.packbits(marks, bitorder="little"))
+        low = np.packbits(bits, bitorder="little")
+        return cls(n, low_bits, np.pad(low, (0, -len(low) % 8)), np.packbits(marks, bitorder="little"))
+
+    def _select(self, i: np.ndarray, ones: bool) -> np.ndarray:
+        """Place of the one (or zero) number ``i`` of the high bits."""
+        if ones:
+            word = np.searchsorted(self.ones, i.astype(self.ones.dtype), "right") - 1
+            left = i - self.ones[word].astype(np.int64)
+            bits = self.words[word]
+        else:
+            # zeros before a word are its places less the ones: both ends of the range are halved until they meet
+            word, end = np.zeros(len(i), np.int64), np.full(len(i), len(self.words), np.int64)
+            while (live := np.flatnonzero(end - word > 1)).size:
+                mid = (word[live] + end[live]) >> 1
+                before = 64 * mid - self.ones[mid].astype(np.int64) <= i[live]
+                word[live], end[live] = np.where(before, mid, word[live]), np.where(before, end[live], mid)
+            left = i - (64 * word - self.ones[word].astype(np.int64))
+            bits = ~self.words[word]
+        at = np.zeros(len(i), np.uint64)
+        for width in (32, 16, 8, 4, 2, 1):
+            held = np.bitwise_count((bits >> at) & np.uint64((1 << width) - 1)).astype(np.int64)
+            beyond = left >= held
+            left -= np.where(beyond, held, 0)
+            at += np.where(beyond, np.uint64(width), np.uint64(0))
+        return 64 * word + at.astype(np.int64)
+
+    def _before(self, part: np.ndarray) -> np.ndarray:
+        """How many values have a high part of at most ``part``."""
+        known = np.clip(part, 0, self.zeros - 1)
+        return np.where(part < 0, 0, np.where(part >= self.zeros, self.n, self._select(known, False) - known))
 
     def _lows(self, i: np.ndarray) -> np.ndarray:
         out = np.zeros(len(i), np.uint64)
@@ -74,15 +118,13 @@ class EliasFano:
         return out
 
     def get(self, i: np.ndarray) -> np.ndarray:
-        return (self._parts[i].astype(np.uint64) << np.uint64(self.low_bits)) | self._lows(i)
+        parts = self._select(i, True) - i
+        return (parts.astype(np.uint64) << np.uint64(self.low_bits)) | self._lows(i)
 
     def successor(self, x: np.ndarray) -> np.ndarray:
         """Place of the first value that is at least x (n if there is none): only values with x's high part are looked at."""
         part = (x >> np.uint64(self.low_bits)).astype(np.int64)
-        last = len(self._before) - 1
-        lo = np.where(part == 0, 0, self._before[np.clip(part - 1, 0, last)])
-        hi = np.where(part > last, self.n, self._before[np.clip(part, 0, last)])
-        lo = np.where(part - 1 > last, self.n, lo)
+        lo, hi = self._before(part - 1), self._before(part)
         low = x & np.uint64((1 << self.low_bits) - 1)
         while (live := np.flatnonzero(lo < hi)).size:
             mid = (lo[live] + hi[live]) >> 1
@@ -93,9 +135,9 @@ class EliasFano:
 
 
 class BigramTrie:
-    """Contexts and their successors with quantised probabilities, in one memory-mapped file."""
+    """Contexts and their successors with quantised probabilities, in one memory map."""
 
-    def __init__(self, keys: np.ndarray, counts: np.ndarray, context_counts: np.ndarray, folder: str | None = None):
+    def __init__(self, keys: np.ndarray, counts: np.ndarray, context_counts: np.ndarray):
         """Sorted bigrams (context number above, successor below) with their counts and their contexts' counts."""
         context, successor = keys >> np.uint64(32), keys & np.uint64(0xFFFFFFFF)
         new = np.ones(len(keys), bool)
@@ -105,24 +147,26 @@ class BigramTrie:
         own = np.cumsum(new) - 1
         # successors of a context start above the last of the context before
         base = np.cumsum(np.concatenate([[np.uint64(0)], successor[ends][:-1] + np.uint64(1)]), dtype=np.uint64) if len(first) else successor
-        prob = np.log10(np.maximum(counts - DISCOUNT, 1e-9) / np.maximum(context_counts, 1))
-        codes = np.clip(np.ceil(-prob * STEPS_PER_DECADE), 0, 254).astype(np.uint8) + np.uint8(1)
+        codes = code_of(np.log10(np.maximum(counts - DISCOUNT, 1e-9) / np.maximum(context_counts, 1)))
         levels = [
             EliasFano.encode(context[first]), EliasFano.encode(np.append(first, len(keys)).astype(np.uint64)),
             EliasFano.encode(base), EliasFano.encode(successor + (base[own] if len(first) else np.uint64(0)))]
-        with tempfile.TemporaryFile(dir=folder) as f:
-            for e in levels:
-                f.write(e.low.tobytes() + e.high.tobytes())
-            f.write(codes.tobytes())
-            f.flush()
-            self.file = np.memmap(f, np.uint8, "r") if len(keys) else np.zeros(0, np.uint8)
-        at, mapped = 0, []
+        # the levels lie one after the other in a map of their own; nothing else of the bigrams is kept
+        stored = [x for e in levels for x in (e.low, e.high)] + [codes]
+        self.map = mmap.mmap(-1, max(1, sum(len(x) for x in stored)))
+        for x in stored:
+            self.map.write(x.tobytes())
+        mapped, at = [], 0
+
+        def piece(n):
+            nonlocal at
+            at += n
+            return np.frombuffer(self.map, np.uint8, n, at - n)
+
         for e in levels:
-            low, high = self.file[at : at + len(e.low)], self.file[at + len(e.low) : at + len(e.low) + len(e.high)]
-            at += len(e.low) + len(e.high)
-            mapped.append(EliasFano(e.n, e.low_bits, low, high) if len(keys) else e)
+            mapped.append(EliasFano(e.n, e.low_bits, piece(len(e.low)), piece(len(e.high))))
+        self.codes = piece(len(codes))
         self.contexts, self.pointers, self.bases, self.successors = mapped
-        self.codes = self.file[at:] if len(keys) else codes
 
     def range_of(self, context: np.ndarray):
         """(first, end, base) of the successors of each context; empty where it is not known."""
@@ -337,7 +381,7 @@ def score(docs: DataFrame, learn: Column) -> DataFrame:
                 ordered_code, ordered_next = np.empty_like(code), np.empty_like(n_next)
                 ordered_code[s.order], ordered_next[s.order] = code, n_next
                 count = np.maximum(1, s.key_context_count)
-                direct = np.where(ordered_code > 0, 10.0 ** (-(ordered_code.astype(float) - 1) / STEPS_PER_DECADE), 0.0)
+                direct = PROBABILITY[ordered_code]
                 rest = np.where(s.key_context_count > 0, DISCOUNT * ordered_next / count, 1.0)
                 c = s.counts[s.tokens]
                 single = (c + 1) / (n_tokens + types + 1)

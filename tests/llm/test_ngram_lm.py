@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from skylag.llm.common import pack, pack_sorted, small, unpack, unpack_sorted
-from skylag.llm.ngram_lm import DISCOUNT, STEPS_PER_DECADE, BigramTrie, EliasFano, held_out, score
+from skylag.llm.ngram_lm import COARSE, DISCOUNT, PROBABILITY, STEPS_PER_DECADE, BigramTrie, EliasFano, code_of, held_out, score
 from tests.llm import nasty
 
 
@@ -92,6 +92,31 @@ def test_elias_fano(values, asked):
     assert e.successor(x).tolist() == np.searchsorted(values, x).tolist()
 
 
+def test_elias_fano_of_many_values():
+    """Long runs of ones and zeros over many words, and no more than a few bits a value."""
+    rng = np.random.default_rng(0)
+    for values in (np.sort(rng.integers(0, 1 << 40, 50_000)), np.repeat([5, 1 << 30], 20_000), np.arange(30_000), np.zeros(1000, int),
+                   np.cumsum(rng.integers(0, 2, 40_000) * rng.integers(0, 1 << 20, 40_000))):
+        values = values.astype(np.uint64)
+        e = EliasFano.encode(values)
+        assert (e.get(np.arange(len(values))) == values).all()
+        x = np.concatenate([values[::7], values[::11] + np.uint64(1), rng.integers(0, 1 << 41, 500).astype(np.uint64)])
+        assert (e.successor(x) == np.searchsorted(values, x)).all()
+        assert 8 * (e.words.nbytes + e.ones.nbytes) <= 8 * len(values) + 4096
+    empty = EliasFano.encode(np.zeros(0, np.uint64))
+    assert empty.successor(np.array([0, 9], np.uint64)).tolist() == [0, 0]
+
+
+def test_codes_reach_the_smallest_probabilities():
+    """No probability is rounded up, and the contexts of a word of 10^15 occurrences still add up to one at most."""
+    log = -np.linspace(0, 20, 4001)
+    found = np.log10(PROBABILITY[code_of(log)])
+    assert (found <= log + 1e-8).all()
+    fine = log > -6
+    assert (found >= log - 1 / STEPS_PER_DECADE - 1e-8)[fine].all() and (found >= log - COARSE / STEPS_PER_DECADE - 1e-8).all()
+    assert PROBABILITY[code_of(np.array([np.log10(0.1 / 1e15)]))][0] * 1e15 <= 0.1 + 1e-9
+
+
 @settings(deadline=None, max_examples=60)
 @given(st.dictionaries(st.tuples(st.integers(0, 30), st.integers(0, 2**32 - 1)), st.integers(1, 9), max_size=60))
 def test_trie_finds_its_bigrams_and_no_others(counts):
