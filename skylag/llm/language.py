@@ -138,7 +138,7 @@ def has_letter(text: str | None) -> bool:
 
 
 def training_samples(labelled: DataFrame, sample_docs: int = 40, sample_chars: int = 600) -> list[tuple[str, bytes]]:
-    """For each language the first ``sample_chars`` of ``sample_docs`` documents, chosen by a hash of their id.
+    """For each language the first ``sample_chars`` of ``sample_docs`` documents, chosen by a hash of their id and text.
 
     The only bound of this operator: it limits what a language's automaton learns from, not what is predicted.
     """
@@ -148,8 +148,8 @@ def training_samples(labelled: DataFrame, sample_docs: int = 40, sample_chars: i
     if not counts:
         return []
     shares = F.create_map(*[F.lit(x) for c in counts for x in (c["lang"], 8.0 * sample_docs / c["count"])])
-    short = known.where(hash_share("doc_id") < F.element_at(shares, F.col("lang"))).select(
-        "lang", F.substring("text", 1, sample_chars).alias("text"), F.xxhash64("doc_id").alias("order"))
+    short = known.where(hash_share("doc_id", "text") < F.element_at(shares, F.col("lang"))).select(
+        "lang", F.substring("text", 1, sample_chars).alias("text"), F.xxhash64("doc_id", "text").alias("order"))
     short = short.where(F.col("text").rlike("\\p{L}"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("order", "text"))
     chosen = short.withColumn("rank", rank).where(F.col("rank") <= sample_docs)
