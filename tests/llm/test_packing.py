@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from skylag.llm.packing import ChunkTokens, Packing, best_fit, crossover, evolve, pack, pack_documents
+from skylag.llm.packing import CAPACITY, ChunkTokens, Packing, best_fit, crossover, evolve, pack, pack_documents
 from tests.llm import nasty
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -101,3 +101,34 @@ def test_pieces_that_always_leave_room(spark):
     items = spark.range(1500).select(F.col("id").alias("uid"), F.lit(60).cast("long").alias("length"))
     placed = pack(items, 100, shard_pieces=200).collect()
     assert len(placed) == len({r.sequence_id for r in placed}) == 1500
+
+
+def test_crossover_lowers_the_number_of_sequences(monkeypatch):
+    """Lengths of which best fit, longest first, needs a fifth more than there must be; whole bins of other packings help."""
+    from skylag.llm import packing
+
+    unit = [CAPACITY // 2 + 20] * 6 + [CAPACITY // 4 + 40] * 6 + [CAPACITY // 4 + 20] * 6 + [CAPACITY // 4 - 40] * 12
+    lengths = unit * 3
+    order = sorted(range(len(lengths)), key=lambda i: -lengths[i])
+    first = len(packing.best_fit(order, lengths, [], CAPACITY).bins)
+    made, crossover = [], packing.crossover
+    monkeypatch.setattr(packing, "crossover", lambda *a: made.append(crossover(*a)) or made[-1])
+    without, bred = (packing.evolve(lengths, [], CAPACITY, n, random.Random(1)) for n in (0, packing.GENERATIONS))
+    assert first == 33 and -(-sum(lengths) // CAPACITY) == 27
+    assert len(made) == packing.GENERATIONS and len(bred.bins) < len(without.bins) < first
+    for child in [*made, bred]:
+        assert sorted(i for b in child.bins for i in b) == list(range(len(lengths))) and max(child.loads) <= CAPACITY
+
+
+def test_islands_beat_best_fit(spark):
+    """The same lengths over many shards and epochs, as a Spark job."""
+    from skylag.llm import packing
+
+    unit = [CAPACITY // 2 + 20] * 6 + [CAPACITY // 4 + 40] * 6 + [CAPACITY // 4 + 20] * 6 + [CAPACITY // 4 - 40] * 12
+    lengths = unit * 20
+    items = spark.createDataFrame(list(enumerate(lengths)), "uid long, length long")
+    packed = packing.pack(items, CAPACITY, shard_pieces=100).join(items, "uid")
+    bins = packed.groupBy("sequence_id").agg(F.sum("length").alias("load"), F.count("*").alias("n")).collect()
+    first = len(packing.best_fit(sorted(range(len(lengths)), key=lambda i: -lengths[i]), lengths, [], CAPACITY).bins)
+    assert sum(b.n for b in bins) == len(lengths) and max(b.load for b in bins) <= CAPACITY
+    assert len(bins) < first
