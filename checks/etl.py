@@ -232,6 +232,13 @@ for direction in ("dep", "arr"):
         joined = join(bronze(spark, sf), sv.hourly_table(hourly(spark, sf)), limit=0)
         return sv.to_silver(joined, with_key=True)
 
+    @query(f"join_{direction}_weather_bucketed", f"{ctes(direction)} SELECT {cols(KEYED)} FROM {direction}")
+    def _(spark, sf, direction=direction):
+        """Both sides in buckets, hours with more than 20 flights dealt over several."""
+        keys = {"dep": ("sched_dep_hour", "ORIGIN"), "arr": ("sched_arr_hour", "DEST")}[direction]
+        sides = sv.bucketed_sides(bronze(spark, sf), sv.scope_hours(hourly(spark, sf)), *keys, direction, buckets=8, most=20)
+        return sv.to_silver(sv.attach_bucketed(*sides, *keys), with_key=True)
+
     @query(f"project_silver_{direction}", f"{ctes(direction)} SELECT {cols(SILVER_COLS)} FROM {direction}")
     def _(spark, sf, direction=direction):
         return silver(spark, sf, direction, with_key=False)

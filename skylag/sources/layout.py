@@ -42,3 +42,10 @@ def zorder(df: DataFrame, cols: list[str], files: int, bits: int = 10) -> DataFr
     """
     z = with_zvalue(df, cols, bits).withColumn("_row", F.monotonically_increasing_id())
     return z.repartitionByRange(files, "zvalue", "_row").sortWithinPartitions("zvalue").drop("_row", "zvalue")
+
+
+def save_bucketed(df: DataFrame, table: str, path: str, keys: list[str], buckets: int) -> DataFrame:
+    """Write a table in buckets of its keys, one file each; joins and groups on these keys then need no shuffle."""
+    writer = df.repartition(buckets, *keys).write.bucketBy(buckets, *keys).sortBy(*keys).option("path", path)
+    writer.saveAsTable(table)
+    return df.sparkSession.table(table)

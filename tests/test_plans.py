@@ -49,6 +49,22 @@ def test_large_weather_is_shuffled_on_both_sides(spark, sf_dir):
     assert "BroadcastHashJoin" not in text
 
 
+def test_bucketed_sides_are_joined_without_a_shuffle(spark, sf_dir):
+    """Also with an hour that holds most flights: its rows lie in several buckets."""
+    flights = stage(bronze(spark, sf_dir), "bronze")
+    hours = sv.hourly_table(hourly(spark, sf_dir))
+    hot = sv.silver_dep(flights, hours).select(*flights.columns).limit(1)
+    many = stage(hot.crossJoin(spark.range(5000)).withColumn("FLIGHT_KEY", -F.col("id")).drop("id").unionByName(flights), "many")
+    keys = ("sched_dep_hour", "ORIGIN")
+    sides = sv.bucketed_sides(many, hours, *keys, "test", buckets=4, most=1000)
+    joined = sv.attach_bucketed(*sides, *keys)
+    text = plan(joined)
+    assert "SortMergeJoin" in text and "Exchange" not in text and text.count("Bucketed: true") == 2
+    assert sides[0].where("salt > 0").select("salt").distinct().count() >= 4
+    want, got = sv.to_silver(sv.silver_dep(many, hours), True), sv.to_silver(joined, True)
+    assert got.count() == want.count() and got.exceptAll(want).count() == 0
+
+
 def test_hot_airport_hour_is_split(spark, sf_dir):
     """With one (hour, airport) holding most flights, the skew-join rule splits its partition."""
     flights, table = stage(bronze(spark, sf_dir), "bronze"), sv.hourly_table(hourly(spark, sf_dir))
