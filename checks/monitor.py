@@ -180,23 +180,60 @@ def _(spark, sf):
         "FLIGHT_KEY", "ORIGIN", "DEST", "sched_dep", "sched_arr", "duration_min")
 
 
+# A mark at noon of the first day of every month at every airport that flights reach.
+MARKS_SQL = "marks AS (SELECT DISTINCT DEST AS airport, date_trunc('month', FL_DATE) + INTERVAL 12 HOUR AS mark FROM flights)"
+
+
+def marks_of(flights):
+    return flights.select(F.col("DEST").alias("airport"), (F.trunc("FL_DATE", "month").cast("timestamp_ntz") + F.expr("INTERVAL 12 HOUR")).alias("mark")).distinct()
+
+
+@query("next_24h_marks", f"""{ctes('flights')}, {TIMES_SQL}, {MARKS_SQL} SELECT airport, mark, FLIGHT_KEY, sched_dep, sched_arr,
+CASE WHEN ORIGIN = airport AND sched_dep >= mark AND sched_dep < mark + INTERVAL 24 HOUR THEN 'departure' ELSE 'arrival' END AS direction
+FROM timed JOIN marks ON (ORIGIN = airport AND sched_dep >= mark AND sched_dep < mark + INTERVAL 24 HOUR)
+OR (DEST = airport AND sched_arr >= mark AND sched_arr < mark + INTERVAL 24 HOUR)""")
+def _(spark, sf):
+    flights = fx.flights(spark, sf)
+    return fc.next_hours_at(flights, marks_of(flights)).select("airport", "mark", "FLIGHT_KEY", "sched_dep", "sched_arr", "direction")
+
+
+@query("in_flight_marks", f"""{ctes('flights')}, {TIMES_SQL}, {MARKS_SQL} SELECT airport, mark, FLIGHT_KEY, sched_dep, sched_arr,
+{r("date_diff('minute', sched_dep, sched_arr) + ARR_DELAY - DEP_DELAY",'duration_min')} FROM timed JOIN marks ON DEST = airport
+WHERE sched_dep + INTERVAL 1 MINUTE * CAST(DEP_DELAY AS INT) < mark AND sched_arr + INTERVAL 1 MINUTE * CAST(coalesce(ARR_DELAY, 0) AS INT) >= mark""")
+def _(spark, sf):
+    flights = fx.flights(spark, sf)
+    return fc.in_flight_at(flights, marks_of(flights)).select("airport", "mark", "FLIGHT_KEY", "sched_dep", "sched_arr", "duration_min")
+
+
 # Every flight at one airport on one of ten days round the mark, delays up to hours both ways.
 CROWD_SQL = """crowd AS (SELECT * REPLACE (DATE '1997-07-05' + CAST(FLIGHT_KEY % 10 AS INT) AS FL_DATE, 'JFK' AS DEST,
 CAST(FLIGHT_KEY * 7 % 400 - 100 AS DOUBLE) AS DEP_DELAY, CASE WHEN FLIGHT_KEY % 5 > 0 THEN CAST(FLIGHT_KEY * 11 % 3000 - 120 AS DOUBLE) END AS ARR_DELAY) FROM flights)"""
 CROWD_MARK = "1997-07-10 23:50:00"
 
 
+def crowd(spark, sf):
+    key = F.col("FLIGHT_KEY")
+    return fx.flights(spark, sf).withColumns({
+        "FL_DATE": F.date_add(F.lit("1997-07-05").cast("date"), (key % 10).cast("int")), "DEST": F.lit("JFK"),
+        "DEP_DELAY": (key * 7 % 400 - 100).cast("double"), "ARR_DELAY": F.when(key % 5 > 0, (key * 11 % 3000 - 120).cast("double"))})
+
+
 @query("inbound_near_midnight", f"""{ctes('flights')}, {CROWD_SQL}, {TIMES_SQL.replace('FROM flights', 'FROM crowd')} SELECT FLIGHT_KEY, sched_dep, sched_arr,
 {r("date_diff('minute', sched_dep, sched_arr) + ARR_DELAY - DEP_DELAY",'duration_min')} FROM timed
 WHERE sched_dep + INTERVAL 1 MINUTE * CAST(DEP_DELAY AS INT) < TIMESTAMP '{CROWD_MARK}'
 AND sched_arr + INTERVAL 1 MINUTE * CAST(coalesce(ARR_DELAY, 0) AS INT) >= TIMESTAMP '{CROWD_MARK}'""")
 def _(spark, sf):
     """Flights of the next day that left early, and flights that are days late."""
-    key = F.col("FLIGHT_KEY")
-    crowd = fx.flights(spark, sf).withColumns({
-        "FL_DATE": F.date_add(F.lit("1997-07-05").cast("date"), (key % 10).cast("int")), "DEST": F.lit("JFK"),
-        "DEP_DELAY": (key * 7 % 400 - 100).cast("double"), "ARR_DELAY": F.when(key % 5 > 0, (key * 11 % 3000 - 120).cast("double"))})
-    return fc.in_flight(crowd, "JFK", CROWD_MARK).select("FLIGHT_KEY", "sched_dep", "sched_arr", "duration_min")
+    return fc.in_flight(crowd(spark, sf), "JFK", CROWD_MARK).select("FLIGHT_KEY", "sched_dep", "sched_arr", "duration_min")
+
+@query("in_flight_marks_crowd", f"""{ctes('flights')}, {CROWD_SQL}, {TIMES_SQL.replace('FROM flights', 'FROM crowd')},
+marks AS (SELECT TIMESTAMP '1997-07-01 00:00:00' + INTERVAL 1 HOUR * CAST(h AS INT) AS mark FROM range(480) t(h)) SELECT mark, CAST(count(*) AS BIGINT) AS flights
+FROM timed JOIN marks ON sched_dep + INTERVAL 1 MINUTE * CAST(DEP_DELAY AS INT) < mark AND sched_arr + INTERVAL 1 MINUTE * CAST(coalesce(ARR_DELAY, 0) AS INT) >= mark GROUP BY 1""")
+def _(spark, sf):
+    """Every hour of twenty days at one airport, with flights that are days late."""
+    marks = spark.range(480).select(F.lit("JFK").alias("airport"), (
+        F.lit("1997-07-01").cast("timestamp_ntz") + F.make_dt_interval(hours=F.col("id").cast("int"))).alias("mark"))
+    return fc.in_flight_at(crowd(spark, sf), marks).groupBy("mark").agg(F.count(F.lit(1)).alias("flights"))
 
 # --- data validation -------------------------------------------------------------------
 
@@ -340,6 +377,23 @@ def _(spark, sf):
         fl.between_closed(rows, "FL_DATE", "1998-01-01", "1998-12-31"),
         fl.between_closed(rows, "FL_DATE", "1997-01-01", "1997-12-31"))
 
+def drift_sql(table, feature, span='"YEAR"', bins=10):
+    v = f'CAST("{feature}" AS DOUBLE)'
+    return f"""SELECT span, previous, '{feature}' AS feature, {r('0.5*sum(CASE WHEN p>0 THEN p*log2(p/((p+q)/2)) ELSE 0 END)+0.5*sum(CASE WHEN q>0 THEN q*log2(q/((p+q)/2)) ELSE 0 END)','jsd')} FROM (
+WITH v AS (SELECT {span} AS span, {v} AS v FROM {table} WHERE {v} IS NOT NULL), e AS (SELECT min(v) AS lo, max(v) AS hi FROM v),
+b AS (SELECT span, least(floor((v-lo)/((hi-lo)/{bins})),{bins - 1}) AS bin, count(*) AS n FROM v, e GROUP BY 1, 2),
+s AS (SELECT span, bin, n*1.0/sum(n) OVER (PARTITION BY span) AS share FROM b),
+o AS (SELECT span, lag(span) OVER (ORDER BY span) AS previous FROM (SELECT DISTINCT span FROM s))
+SELECT o.span, o.previous, coalesce(x.share, 0) AS p, coalesce(y.share, 0) AS q FROM o CROSS JOIN (SELECT DISTINCT bin FROM s) k
+LEFT JOIN s x ON x.span = o.span AND x.bin = k.bin LEFT JOIN s y ON y.span = o.previous AND y.bin = k.bin WHERE o.previous IS NOT NULL) GROUP BY 1, 2"""
+
+
+@query("drift_by_span", f"""{ctes('dep6')} SELECT span, previous, feature, jsd, CAST(0 AS DOUBLE) AS threshold, jsd > 0 AS anomaly
+FROM ({' UNION ALL '.join(drift_sql('dep6', c) for c in vl.WATCHED)})""")
+def _(spark, sf):
+    rows = stage(settled_silver(spark, sf).select("YEAR", *vl.WATCHED), "silver")
+    return vl.drift_by_span(rows, "YEAR")
+
 # --- registry: versions and transitions derived from the event table --------------------
 
 NAME = "concat('model_', CAST(user_id % 20 AS VARCHAR))"

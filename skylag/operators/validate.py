@@ -1,10 +1,11 @@
 """Inferred schemas, anomalies against them, and distribution distance between two spans."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from skylag.operators.distributions import bin_of, ranges, widened
 from skylag.operators.profile import feature_types, numeric_columns, text_columns, text_counts
+from skylag.session import stage
 
 
 def presence(df: DataFrame) -> DataFrame:
@@ -89,42 +90,48 @@ def compare_stats(left: DataFrame, right: DataFrame, names: tuple[str, str] = ("
     return prefixed(left, names[0]).join(prefixed(right, names[1]), "feature", "full")
 
 
-def _bin_counts(df: DataFrame, bounds: dict[str, tuple[float, float]], bins: int, out: str) -> DataFrame:
-    """Rows (feature, bin, <out>) over given bounds; shuffles at most ``bins`` rows per feature and task."""
+def _placed(df: DataFrame, keep: list[str], bounds: dict[str, tuple[float, float]], bins: int) -> DataFrame:
+    """Rows (keep..., feature, bin) of all values; each task makes them for itself."""
     places = F.array(*[
         F.struct(F.lit(c).alias("feature"), bin_of(F.col(c), lo, hi, bins).alias("bin"))
         for c, (lo, hi) in bounds.items()
     ])
-    return df.select(F.inline(places)).where(F.col("bin").isNotNull()).groupBy("feature", "bin").agg(
-        F.count(F.lit(1)).alias(out))
+    return df.select(*keep, F.inline(places)).where(F.col("bin").isNotNull())
+
+
+def _divergence(shares: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys..., jsd), base 2, of rows (keys..., p, q), one per bin."""
+    m = (F.col("p") + F.col("q")) / 2
+
+    def part(x):
+        return F.sum(F.when(F.col(x) > 0, F.col(x) * F.log2(F.col(x) / m)).otherwise(0.0))
+
+    return shares.groupBy(*keys).agg(((part("p") + part("q")) / 2).alias("jsd"))
 
 
 def jsd(a: DataFrame, b: DataFrame, cols: list[str] | None = None, bins: int = 10) -> DataFrame:
     """Jensen-Shannon divergence (feature, jsd), base 2, over common equal-width bins.
 
-    One aggregate per table gives the joint ranges, one more the bin counts. A
+    Both tables are read as one: an aggregate gives the ranges of both sides, another the bin counts of both. A
     feature without values on one side has no divergence and gets NULL.
     """
     cols = cols or [c for c in numeric_columns(a) if c in b.columns]
-    in_a, in_b = ranges(a, cols, widen=False), ranges(b, cols, widen=False)
-    shared = [c for c in cols if c in in_a and c in in_b]
+    both = a.select(F.lit(0).alias("side"), *[F.col(c).cast("double").alias(c) for c in cols]).union(
+        b.select(F.lit(1).alias("side"), *[F.col(c).cast("double").alias(c) for c in cols]))
+    asked = [f(c).alias(f"{k}{i}") for i, c in enumerate(cols) for k, f in (("lo", F.min), ("hi", F.max), ("n", F.count))]
+    sides = both.groupBy("side").agg(*asked).collect()  # two rows
+    shared = [i for i in range(len(cols)) if len(sides) == 2 and all(s[f"n{i}"] for s in sides)]
     undefined = a.sparkSession.createDataFrame(
-        [(c, None) for c in cols if c not in shared], "feature string, jsd double")
+        [(c, None) for i, c in enumerate(cols) if i not in shared], "feature string, jsd double")
     if not shared:
         return undefined
-    bounds = {c: widened(min(in_a[c][0], in_b[c][0]), max(in_a[c][1], in_b[c][1])) for c in shared}
-    sizes = F.create_map(*[x for c in shared for x in (F.lit(c), F.array(F.lit(in_a[c][2]), F.lit(in_b[c][2])))])
+    bounds = {cols[i]: widened(min(s[f"lo{i}"] for s in sides), max(s[f"hi{i}"] for s in sides)) for i in shared}
+    sides.sort(key=lambda s: s["side"])
+    sizes = F.create_map(*[x for i in shared for x in (F.lit(cols[i]), F.array(*[F.lit(s[f"n{i}"]) for s in sides]))])
     total = F.try_element_at(sizes, F.col("feature"))
-    counts = _bin_counts(a, bounds, bins, "na").join(_bin_counts(b, bounds, bins, "nb"), ["feature", "bin"], "full")
-    shares = counts.select(
-        "feature", (F.coalesce("na", F.lit(0)) / F.get(total, 0)).alias("p"),
-        (F.coalesce("nb", F.lit(0)) / F.get(total, 1)).alias("q"))
-    m = (F.col("p") + F.col("q")) / 2
-
-    def part(x):
-        return F.sum(F.when(F.col(x) > 0, F.col(x) * F.log2(F.col(x) / m)).otherwise(0.0))
-
-    return shares.groupBy("feature").agg(((part("p") + part("q")) / 2).alias("jsd")).unionByName(undefined)
+    counts = _placed(both, ["side"], bounds, bins).groupBy("feature", "bin").agg(*[F.count_if(F.col("side") == k).alias(f"n{k}") for k in (0, 1)])
+    shares = counts.select("feature", (F.col("n0") / F.get(total, 0)).alias("p"), (F.col("n1") / F.get(total, 1)).alias("q"))
+    return _divergence(shares, ["feature"]).unionByName(undefined)
 
 
 # Features whose divergence is watched, and the threshold.
@@ -147,3 +154,30 @@ def skew_check(train: DataFrame, serve: DataFrame, thresholds: dict[str, float]
 def drift_check(current: DataFrame, previous: DataFrame, thresholds: dict[str, float] = WATCHED, bins: int = 10) -> DataFrame:
     """A span against the span before it."""
     return divergence_check(current, previous, thresholds, "drift", bins)
+
+
+def drift_by_span(df: DataFrame, span: str, thresholds: dict[str, float] = WATCHED, bins: int = 10) -> DataFrame:
+    """Every span (a sortable column) against the one before it that has values of the feature.
+
+    Rows (span, previous, feature, jsd, threshold, anomaly). One aggregate gives the ranges, which all spans share, one more
+    the counts per span and bin, whatever the number of spans; the rest works on these counts.
+    """
+    cols = list(thresholds)
+    bounds = {c: (lo, hi) for c, (lo, hi, _) in ranges(df, cols).items()}
+    out = "previous, feature, jsd, threshold, anomaly".split(", ")
+    if not bounds:
+        return df.select(F.col(span).alias("span"), *[F.lit(None).cast(t).alias(c) for c, t in zip(
+            out, (df.schema[span].dataType, "string", "double", "double", "boolean"))]).limit(0)
+    rows = df.select(F.col(span).alias("span"), *bounds).where(F.col("span").isNotNull())
+    counts = stage(_placed(rows, ["span"], bounds, bins).groupBy("span", "feature", "bin").agg(F.count(F.lit(1)).alias("n")), "span_bins")
+    order = Window.partitionBy("feature").orderBy("span")
+    totals = counts.groupBy("span", "feature").agg(F.sum("n").alias("total")).withColumns(
+        {"previous": F.lag("span").over(order), "next": F.lead("span").over(order)})
+    shares = counts.join(totals, ["span", "feature"]).withColumn("share", F.col("n") / F.col("total"))
+    none = F.lit(0.0)
+    sides = shares.where("previous IS NOT NULL").select("span", "previous", "feature", "bin", F.col("share").alias("p"), none.alias("q")).union(
+        shares.where("next IS NOT NULL").select("next", "span", "feature", "bin", none, "share"))
+    pairs = sides.groupBy("span", "previous", "feature", "bin").agg(F.sum("p").alias("p"), F.sum("q").alias("q"))
+    limits = F.create_map(*[F.lit(x) for pair in thresholds.items() for x in pair])
+    return _divergence(pairs, ["span", "previous", "feature"]).withColumn("threshold", F.try_element_at(limits, F.col("feature"))).withColumn(
+        "anomaly", F.col("jsd") > F.col("threshold"))

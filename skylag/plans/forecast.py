@@ -3,7 +3,7 @@
 import math
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skylag.functions.times import with_rollover
@@ -13,6 +13,7 @@ from skylag.operators.monitor import by_stage
 from skylag.operators.ordered import ROWS_PER_CHUNK, fill_both
 from skylag.operators.silver import SILVER_COLUMNS
 from skylag.params import Params
+from skylag.sources.registry import PRODUCTION, STAGING, load_stage
 from skylag.sources.tables import between_dates
 
 
@@ -99,3 +100,75 @@ def in_flight(flights: DataFrame, airport: str, mark: str) -> DataFrame:
     planned = F.timestamp_diff("MINUTE", F.col("sched_dep"), F.col("sched_arr"))
     return with_times(near).where((left < now) & (arrives >= now)).withColumn(
         "duration_min", planned + F.col("ARR_DELAY") - F.col("DEP_DELAY"))
+
+
+#: Seconds of the buckets of time in which flights in the air are looked for, and buckets of one size that a flight is put in.
+AIR_BUCKETS, MOST_BUCKETS = (3600, 86_400, 30 * 86_400), 48
+
+
+def _seconds(time) -> Column:
+    """Seconds of a local time since 1970."""
+    return F.timestamp_diff("SECOND", F.lit("1970-01-01").cast("timestamp_ntz"), time)
+
+
+def next_hours_at(flights: DataFrame, marks: DataFrame, hours: int = 24) -> DataFrame:
+    """``next_hours`` for each row (airport, mark) of a table, which may be of any length.
+
+    Departures and arrivals are looked up by airport and bucket of time, ``hours`` wide, of which a mark's span touches two.
+    """
+    width = hours * 3600
+    timed = with_times(flights)
+    events = timed.select("*", F.inline(F.array(
+        F.struct(F.col("ORIGIN").alias("at"), F.col("sched_dep").alias("due"), F.lit("departure").alias("direction")),
+        F.struct(F.col("DEST").alias("at"), F.col("sched_arr").alias("due"), F.lit("arrival").alias("direction"))))).where(F.col("due").isNotNull())
+    bucket = F.floor(_seconds(F.col("due")) / width)
+    first = F.floor(_seconds(F.col("mark")) / width)
+    asked = marks.select("airport", F.col("mark").cast("timestamp_ntz").alias("mark")).distinct()
+    spread = asked.withColumn("bucket", F.explode(F.array(first, first + 1)))
+    end = F.col("mark") + F.make_dt_interval(hours=F.lit(hours))
+
+    def within(col):
+        return (F.col(col) >= F.col("mark")) & (F.col(col) < end)
+
+    # a flight that leaves and reaches the airport in the span counts as leaving
+    twice = (F.col("direction") == "arrival") & (F.col("ORIGIN") == F.col("airport")) & F.coalesce(within("sched_dep"), F.lit(False))
+    met = events.withColumn("due_bucket", bucket).join(spread, [F.col("at") == F.col("airport"), F.col("due_bucket") == F.col("bucket")])
+    return met.where(within("due") & ~twice).select("airport", "mark", *timed.columns, "direction")
+
+
+def in_flight_at(flights: DataFrame, marks: DataFrame) -> DataFrame:
+    """``in_flight`` for each row (airport, mark) of a table, which may be of any length.
+
+    A flight is put in the buckets of time that it is in the air in: of an hour, or of a day or a month if it takes very
+    long. A mark lies in one bucket of each size, so each pair meets once, and nothing is compared but what shares a bucket.
+    """
+    timed = with_times(flights)
+    left = F.col("sched_dep") + F.make_dt_interval(mins=F.col("DEP_DELAY").cast("int"))
+    arrives = F.col("sched_arr") + F.make_dt_interval(mins=F.coalesce(F.col("ARR_DELAY"), F.lit(0)).cast("int"))
+    air = timed.withColumns({"left_at": left, "arrives_at": arrives}).where("left_at < arrives_at")
+    took = _seconds(F.col("arrives_at")) - _seconds(F.col("left_at"))
+    width = F.lit(AIR_BUCKETS[-1])
+    for w in reversed(AIR_BUCKETS[:-1]):
+        width = F.when(took <= w * MOST_BUCKETS, w).otherwise(width)
+    air = air.withColumn("width", width).withColumn("bucket", F.explode(F.sequence(
+        F.floor(_seconds(F.col("left_at")) / F.col("width")), F.floor(_seconds(F.col("arrives_at")) / F.col("width")))))
+    asked = marks.select("airport", F.col("mark").cast("timestamp_ntz").alias("mark")).distinct().withColumn(
+        "mark_width", F.explode(F.array(*map(F.lit, AIR_BUCKETS))))
+    asked = asked.withColumn("mark_bucket", F.floor(_seconds(F.col("mark")) / F.col("mark_width")))
+    met = air.join(asked, [F.col("DEST") == F.col("airport"), F.col("width") == F.col("mark_width"), F.col("bucket") == F.col("mark_bucket")])
+    planned = F.timestamp_diff("MINUTE", F.col("sched_dep"), F.col("sched_arr"))
+    return met.where((F.col("left_at") < F.col("mark")) & (F.col("arrives_at") >= F.col("mark"))).withColumn(
+        "duration_min", planned + F.col("ARR_DELAY") - F.col("DEP_DELAY")).select("airport", "mark", *timed.columns, "duration_min")
+
+
+def forecast_stages(base: str, name: str, rows: DataFrame, stages: tuple[str, ...] = (STAGING, PRODUCTION)) -> DataFrame:
+    """Forecasts by the registered model of ``name`` in each stage; a stage that none is in is left out."""
+    models = {}
+    for stage in stages:
+        try:
+            models[stage] = load_stage(rows.sparkSession, base, name, stage)
+        except LookupError:
+            continue
+    if not models:
+        raise LookupError(f"no version of {name!r} is in any of the stages {', '.join(stages)}")
+    return forecast_by_stage(models, rows)

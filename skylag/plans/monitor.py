@@ -10,6 +10,7 @@ from skylag.operators.relations import ols
 from skylag.operators.validate import compare_stats, domains, infer_schema, skew_check, validate
 from skylag.params import Params
 from skylag.plans.forecast import filled, forecast_input, training_input
+from skylag.sources.registry import PRODUCTION, STAGING, load_stage
 
 
 def stage_residuals(silver: DataFrame, params: Params, models: dict[str, PipelineModel]) -> DataFrame:
@@ -19,6 +20,12 @@ def stage_residuals(silver: DataFrame, params: Params, models: dict[str, Pipelin
     return mon.residuals_by_stage(scored, params.label, predictions).select(*rows.columns, "stage", "yhat", "residual")
 
 
+def registered_residuals(silver: DataFrame, params: Params, base: str, name: str) -> DataFrame:
+    """The same of the models of ``name`` that are in staging and in production now."""
+    found = {tag: load_stage(silver.sparkSession, base, name, stage) for tag, stage in ((mon.STAGING, STAGING), (mon.PROD, PRODUCTION))}
+    return stage_residuals(silver, params, found)
+
+
 def residual_trend(residual_rows: DataFrame) -> DataFrame:
     """Straight-line fit of residual on prediction per stage."""
     return ols(residual_rows, "yhat", "residual", "stage")

@@ -33,6 +33,25 @@ def test_search_picks_from_the_grid(planted):
     assert rmse_of(model, planted) < 10
 
 
+def test_errors_of_the_grid_are_those_of_separate_fits(planted):
+    """One fit for each depth and fold gives what a fit for each member of the grid gives."""
+    from pyspark.ml import Pipeline
+
+    errors = md.fold_errors(planted, "y", max_depths=(1, 2), max_iters=(2, 5), folds=2, seed=3)
+    ready = Pipeline(stages=[md.assembler(["x", "g", "z", "c"]), md.indexer()]).fit(planted).transform(planted).select("y", "features")
+    parts = ready.withColumn("fold", F.floor(F.rand(3) * 2).cast("int")).cache()
+    for (depth, trees), error in errors.items():
+        apart = []
+        for fold in range(2):
+            model = md.gbt("y", maxDepth=depth, maxIter=trees).fit(parts.where(F.col("fold") != fold))
+            scored = model.transform(parts.where(F.col("fold") == fold))
+            apart.append(md.rmse(scored.withColumnRenamed("prediction", "yhat"), "y").first().rmse)
+        assert error == pytest.approx(sum(apart) / 2)
+    best = min(errors, key=lambda k: (errors[k], k))
+    chosen = md.tune(planted, "y", max_depths=(1, 2), max_iters=(2, 5), folds=2, seed=3).stages[-1]
+    assert (chosen.getMaxDepth(), chosen.getNumTrees) == best
+
+
 def test_linear_fit_matches_least_squares(planted):
     got = md.score(md.train_linear(planted, "y"), planted).toPandas()
     a = np.column_stack([got[c] for c in ("x", "g")] + [np.ones(len(got))])
