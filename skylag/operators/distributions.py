@@ -10,7 +10,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skylag.operators.quantiles import column_stats, exact_quantiles, quantiles_of
+from skylag.operators.quantiles import column_stats, exact_quantiles, is_small, quantiles_of
 from skylag.session import stage
 
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
@@ -126,5 +126,5 @@ def box_stats(df: DataFrame, key: str, val: str) -> DataFrame:
 def group_quantiles(df: DataFrame, key: str, val: str, probs: dict[str, float]) -> DataFrame:
     """Count and quantiles of a value per key."""
     table = stage(df.where(F.col(key).isNotNull() & F.col(val).isNotNull()).select(key, F.col(val).cast("double").alias(val)), "values")
-    stats = stage(column_stats(table, [val], [key]), "stats")
+    stats = stage(column_stats(table, [val], [key], not is_small(table)), "stats")
     return stats.select(key, "n").join(quantiles_of(table, stats, [val], probs, [key]).drop("feature"), key)

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skylag.operators.distributions import QUARTILES, value_counts
-from skylag.operators.quantiles import column_stats, quantiles_of
+from skylag.operators.quantiles import column_stats, is_small, quantiles_of
 from skylag.session import stage
 
 _INTS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
@@ -48,7 +48,7 @@ def numeric_stats(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     if not cols:
         return df.sparkSession.createDataFrame([], STATS)
     table = stage(df.select(*cols), "numbers")
-    stats = stage(column_stats(table, cols).where("rows > 0"), "stats")
+    stats = stage(column_stats(table, cols, sketch=not is_small(table)).where("rows > 0"), "stats")
     # one row per column of the table in each of these, whatever its size
     quartiles = quantiles_of(table, stats, cols, QUARTILES)
     n, value = F.col("n"), F.col("value")
@@ -101,7 +101,7 @@ def top_values(df: DataFrame, cols: list[str], k: int = 5) -> DataFrame:
 def summary(df: DataFrame, cols: list[str]) -> DataFrame:
     """count, mean, stddev, min, quartiles and max per column; no value is shuffled."""
     table = stage(df.select(*cols), "numbers")
-    stats = stage(column_stats(table, cols).where("rows > 0"), "stats")
+    stats = stage(column_stats(table, cols, sketch=not is_small(table)).where("rows > 0"), "stats")
     return stats.join(F.broadcast(quantiles_of(table, stats, cols, QUARTILES)), "feature", "left").select(
         "feature", F.col("n").alias("count"), "mean", F.col("std").alias("stddev"), F.col("lo").alias("min"),
         F.col("q1").alias("q25"), "median", F.col("q3").alias("q75"), F.col("hi").alias("max"))

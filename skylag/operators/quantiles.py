@@ -22,6 +22,8 @@ SKETCH_K, SKETCH_ERROR = 512, 0.01
 GRID = 400
 #: Finer bins of a bin that is refined.
 BINS = 512
+#: Rows up to which quantiles count every value in one aggregate instead of in passes; the result is the same.
+SMALL_ROWS = 1_000_000
 STANDARD, QUANTILES = "STANDARD", "QUANTILES"
 
 
@@ -31,20 +33,22 @@ def finite(value: Column) -> Column:
     return F.when(F.abs(number) < math.inf, number)
 
 
-def column_stats(df: DataFrame, cols: list[str], by: list[str] = ()) -> DataFrame:
+def column_stats(df: DataFrame, cols: list[str], by: list[str] = (), sketch: bool = True) -> DataFrame:
     """Rows (by..., feature, rows, n, zeros, lo, hi, mean, std, sketch) of all columns from one aggregate.
 
-    ``n`` counts finite values; ``sketch`` merges with those of other tables (``merge_stats`` does so).
+    ``n`` counts finite values; ``sketch`` merges with those of other tables (``merge_stats`` does so), and is NULL if not asked for.
     """
-    asked = []
+    asked, none = [], F.lit(None).cast("binary")
     for i, c in enumerate(cols):
         v = finite(F.col(c))
         asked += [
             F.count(v).alias(f"n{i}"), F.count_if(v == 0).alias(f"zeros{i}"), F.min(v).alias(f"lo{i}"), F.max(v).alias(f"hi{i}"),
-            F.avg(v).alias(f"mean{i}"), F.stddev_samp(v).alias(f"std{i}"), F.kll_sketch_agg_double(v, F.lit(SKETCH_K)).alias(f"sketch{i}")]
+            F.avg(v).alias(f"mean{i}"), F.stddev_samp(v).alias(f"std{i}"),
+            *([F.kll_sketch_agg_double(v, F.lit(SKETCH_K)).alias(f"sketch{i}")] if sketch else [])]
     wide = df.groupBy(*by).agg(F.count(F.lit(1)).alias("rows"), *asked)
     rows = F.array(*[
-        F.struct(F.lit(c).alias("feature"), *[F.col(f"{k}{i}").alias(k) for k in ("n", "zeros", "lo", "hi", "mean", "std", "sketch")])
+        F.struct(F.lit(c).alias("feature"), *[F.col(f"{k}{i}").alias(k) for k in ("n", "zeros", "lo", "hi", "mean", "std")],
+                 (F.col(f"sketch{i}") if sketch else none).alias("sketch"))
         for i, c in enumerate(cols)])
     return wide.select(*by, "rows", F.inline(rows))
 
@@ -123,8 +127,23 @@ def selected(values: DataFrame, ranks: DataFrame, keys: list[str]) -> DataFrame:
             c["lo"].alias("lo"), c["hi"].alias("hi"), (i.cast("long") * BINS).alias("at"), i.alias("group"), c["before"].alias("before"))).alias("cells")), "cells")
 
 
+def is_small(df: DataFrame) -> bool:
+    """Whether a stored table's values can be counted one by one in a task; its rows are known from the file footers."""
+    return df.count() <= SMALL_ROWS
+
+
+def counted_quantiles(df: DataFrame, cols: list[str], probs: dict[str, float], by: list[str] = ()) -> DataFrame:
+    """The same for a small table: one aggregate that counts every value."""
+    wanted = F.array(*[F.lit(float(p)) for p in probs.values()])
+    wide = df.groupBy(*by).agg(*[F.percentile(finite(F.col(c)), wanted).alias(f"q{i}") for i, c in enumerate(cols)])
+    rows = F.array(*[F.struct(F.lit(c).alias("feature"), *[F.get(f"q{i}", k).alias(name) for k, name in enumerate(probs)]) for i, c in enumerate(cols)])
+    return wide.select(*by, F.inline(rows)).where(F.col(next(iter(probs))).isNotNull())
+
+
 def quantiles_of(df: DataFrame, stats: DataFrame, cols: list[str], probs: dict[str, float], by: list[str] = ()) -> DataFrame:
     """(by..., feature, <name of each prob>): interpolated quantiles, given the table's ``column_stats``."""
+    if is_small(df):
+        return counted_quantiles(df, cols, probs, by)
     keys = [*by, "feature"]
     known = stage(stats.where("n > 0").select(*keys, "n", "lo", "hi", "sketch"), "known")
 
@@ -147,7 +166,7 @@ def quantiles_of(df: DataFrame, stats: DataFrame, cols: list[str], probs: dict[s
 
 def exact_quantiles(df: DataFrame, cols: list[str], probs: dict[str, float], by: list[str] = ()) -> DataFrame:
     """(by..., feature, <name of each prob>) of a stored table."""
-    return quantiles_of(df, column_stats(df, cols, by), cols, probs, by)
+    return quantiles_of(df, column_stats(df, cols, by, not is_small(df)), cols, probs, by)
 
 
 def sketch_histograms(stats: DataFrame, buckets: int = 10, by: list[str] = ()) -> DataFrame:
@@ -202,5 +221,5 @@ def quantile_histogram(df: DataFrame, stats: DataFrame, cols: list[str], buckets
 
 def histograms(df: DataFrame, cols: list[str], buckets: int = 10, by: list[str] = ()) -> DataFrame:
     """Exact equal-width and quantile histograms of every column of a stored table, per group when asked."""
-    stats = stage(column_stats(df, cols, by), "stats")
+    stats = stage(column_stats(df, cols, by, not is_small(df)), "stats")
     return equal_width(df, stats, cols, buckets, by).union(quantile_histogram(df, stats, cols, buckets, by))

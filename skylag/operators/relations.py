@@ -7,15 +7,24 @@ from pyspark.sql import functions as F
 def corr_long(df: DataFrame, cols: list[str]) -> DataFrame:
     """Pearson correlation (a, b, corr) of all column pairs over rows where both are present.
 
-    Each pair is one mergeable state (count, means, co-moments) of a single aggregate, so a row is read once as it is and
-    a task sends one row. Only pairs in one order are computed; the others are the same numbers.
+    Columns stand in a circle, and each row becomes one row per column with the half of the circle that follows it, so each
+    pair is computed once. The aggregate holds one fixed set of states (count, means, co-moments) per first column and
+    merges on the map side into as many groups as there are columns.
     """
-    values = df.select(*[F.col(c).cast("double").alias(f"v{i}") for i, c in enumerate(cols)])
-    pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
-    wide = values.agg(*[F.corr(f"v{i}", f"v{j}").alias(f"c{i}_{j}") for i, j in pairs])
-    return wide.select(F.inline(F.array(*[
-        F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"c{min(i, j)}_{max(i, j)}").alias("corr"))
-        for i, a in enumerate(cols) for j, b in enumerate(cols)])))
+    m = len(cols)
+    half = m // 2 + 1
+    values = [F.col(c).cast("double").alias(f"v{i}") for i, c in enumerate(cols)]
+    firsts = F.array(*[
+        F.struct(F.lit(i).alias("a"), *[F.col(f"v{(i + k) % m}").alias(f"w{k}") for k in range(half)]) for i in range(m)])
+    wide = df.select(*values).select(F.inline(firsts)).groupBy("a").agg(*[F.corr("w0", f"w{k}").alias(f"c{k}") for k in range(half)])
+    found = wide.select("a", F.inline(F.array(*[F.struct(F.lit(k).alias("k"), F.col(f"c{k}").alias("corr")) for k in range(half)])))
+    # the other half of the pairs are the same numbers; a pair across an even circle is met from both ends
+    b = (F.col("a") + F.col("k")) % m
+    both = F.array(F.struct(F.col("a").alias("a"), b.alias("b")), F.struct(b.alias("a"), F.col("a").alias("b")))
+    once = (F.col("k") == 0) | (F.col("k") * 2 != m) | (F.col("a") < b)
+    pairs = found.where(once).select("corr", F.inline(F.when(F.col("k") == 0, F.slice(both, 1, 1)).otherwise(both)))
+    names = F.array(*map(F.lit, cols))
+    return pairs.select(F.get(names, F.col("a")).alias("a"), F.get(names, F.col("b")).alias("b"), "corr")
 
 
 def ols(df: DataFrame, x: str, y: str, by: str | None = None) -> DataFrame:

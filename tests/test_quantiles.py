@@ -4,7 +4,7 @@ import math
 
 import numpy as np
 import pytest
-from hypothesis import given, settings
+from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
@@ -12,6 +12,12 @@ from skylag.operators import distributions as ds
 from skylag.operators import quantiles as qt
 from skylag.session import stage
 
+@pytest.fixture(autouse=True, params=[0, 10**6], ids=["passes", "counted"])
+def small_rows(request, monkeypatch):
+    """Every test takes the passes of large tables, and counts all values as for small ones."""
+    monkeypatch.setattr(qt, "SMALL_ROWS", request.param)
+
+
 PROBS = {"p0": 0.0, "p10": 0.1, "p50": 0.5, "p99": 0.99, "p100": 1.0}
 
 
@@ -42,7 +48,7 @@ def test_groups_with_odd_values(spark):
         assert np.allclose([got[k].a, got[k].b, got[k].c], want, rtol=1e-9), k
 
 
-@settings(max_examples=8, deadline=None)
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.floats(allow_nan=False, allow_infinity=False, width=64, min_value=-1e100, max_value=1e100) | st.integers(-3, 3).map(float),
                 min_size=1, max_size=60), st.floats(0, 1))
 def test_any_values(spark, values, p):
