@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from skylag.operators.flights import require
 from skylag.operators.nulls import drop_null_columns
 from skylag.operators.silver import SILVER_COLUMNS
+from skylag.operators.weather import MEASURES, settled
 
 DELAYS = ("DEP_DELAY", "ARR_DELAY")
 # The searched grid.
@@ -25,9 +26,13 @@ def feature_names(label: str, leak_free: bool = False) -> list[str]:
 
 
 def feature_frame(df: DataFrame, label: str, cast_int: bool = False, keep: list[str] = ()) -> DataFrame:
-    """The 15 features in silver order, optionally truncated to integers."""
+    """The 15 features in silver order, optionally truncated to integers.
+
+    Measures are settled first: the last bits of a mean depend on the order of summing, and 50 must not become 49.
+    """
     names = feature_names(label)
-    return df.select(*keep, *[F.col(c).cast("int").alias(c) if cast_int else F.col(c) for c in names])
+    rows = settled(df, [c for c in names if c in MEASURES]) if cast_int else df
+    return rows.select(*keep, *[F.col(c).cast("int").alias(c) if cast_int else F.col(c) for c in names])
 
 
 def training_frame(df: DataFrame, label: str, leak_free: bool = False) -> DataFrame:
