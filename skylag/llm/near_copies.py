@@ -1,6 +1,7 @@
 """Near copies by the exact Jaccard similarity of their sets of five-word shingles.
 
-Candidates share a band: the hash of ROWS minima of a text's shingles, under own hash functions for each of BANDS
+By SimHash, candidates meet in a table of ``simhash_tables``, and what follows compares their fingerprints where it says minima.
+By minima, candidates share a band: the hash of ROWS minima of a text's shingles, under own hash functions for each of BANDS
 bands. A pair at similarity s shares none with probability (1 - s**ROWS)**BANDS, 0.000026 at s = 0.8 and less above.
 Candidates are verified on the shingles themselves. First every text meets a leader of each of its bands. While more pairs
 than members are apart, and a turn halves them, those outside a band's largest group meet some members of that; so a large group
@@ -26,8 +27,11 @@ from pyspark.sql import functions as F
 from skylag.llm.common import Powers, WordHashes, mix, prefix_hashes, shards_of, slices, texts_of, window_hashes
 from skylag.llm.graph import components
 from skylag.llm.simhash import one_of_each
+from skylag.llm.simhash_tables import Tables
 from skylag.session import stage
 
+#: How candidates are found.
+MINIMA, SIMHASH = "minima", "simhash"
 BANDS, ROWS = 20, 4
 #: Shingles hashed at once, so that a very long text needs little memory.
 CHUNK = 2048
@@ -81,20 +85,40 @@ def agreeing(similarity: float) -> int:
     return AGREE - round(BANDS * ROWS * (0.8 - similarity))
 
 
-def signatures(docs: DataFrame, shingle: int) -> DataFrame:
-    """(doc_id, content, node, size, keys, least) of every row: node is a hash of the words, size the number of shingles."""
+class Minima:
+    """Candidates by bands of minima."""
+
+    banded = True
+
+    def __init__(self, similarity: float):
+        self.enough = agreeing(similarity)
+
+    def signature(self, shingles: np.ndarray) -> bytes:
+        return minima(shingles).tobytes()
+
+    def alike(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return (a == b).sum(axis=1) >= self.enough
+
+
+def signatures(docs: DataFrame, shingle: int, method) -> DataFrame:
+    """(doc_id, content, node, size, keys, least) of every row: node is a hash of the words, size the number of shingles.
+
+    ``least`` is what the method compares texts by, before their shingles; ``keys`` are their bands of minima, if it uses them.
+    """
+    banded = method.banded
 
     def run(batches):
         of = Shingles(shingle).of
         for part in slices(batches, "text"):
             words = [t.lower().split() for t in texts_of(part)]
             sets = [of(w) for w in words]
-            least = [minima(s) if len(s) else None for s in sets]
+            least = [method.signature(s) if len(s) else None for s in sets]
+            minimal = [np.frombuffer(x, np.uint64) if banded and x is not None else None for x in least]
             nodes = np.array([xxhash.xxh64_intdigest(b" ".join(w)) for w in words], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), part.column("content"), pa.array(nodes), pa.array(map(len, sets), pa.int64()),
-                 pa.array([[] if x is None else band_keys(x) for x in least], pa.list_(pa.int64())),
-                 pa.array([None if x is None else short_minima(x) for x in least], pa.binary())],
+                 pa.array([[] if x is None else band_keys(x) for x in minimal], pa.list_(pa.int64())),
+                 pa.array([x if m is None else short_minima(m) for x, m in zip(least, minimal)], pa.binary())],
                 ["doc_id", "content", "node", "size", "keys", "least"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("content"), "text")
@@ -153,16 +177,15 @@ def cells_of(members: DataFrame, task_bytes: int = TASK_BYTES) -> DataFrame:
     return cells.withColumn("task", F.pmod(F.xxhash64("band", "key", "i", "j"), F.lit(tasks)).cast("int"))
 
 
-def _cells(part: pd.DataFrame, similarity: float):
-    """(sorted rows, pairs of each cell): for each member of a cell the later ones of other roots, of alike size, whose minima
-    agree enough and with whom it shares no earlier band."""
+def _cells(part: pd.DataFrame, similarity: float, method):
+    """(sorted rows, pairs of each cell): for each member of a cell the later ones of other roots, of alike size, whose signatures
+    are alike and with whom it shares no earlier band of minima."""
     part = part.sort_values(["band", "key", "i", "j"], kind="stable").reset_index(drop=True)
     ids = part[["band", "key", "i", "j"]].to_numpy()
     cuts = np.flatnonzero((ids[1:] != ids[:-1]).any(axis=1)) + 1
     least = np.frombuffer(b"".join(part["least"]), np.uint16).reshape(len(part), -1)
-    keys = np.stack(part["keys"].to_numpy()) if len(part) else np.zeros((0, BANDS), np.int64)
+    keys = np.stack([np.asarray(k, np.int64) for k in part["keys"]]) if len(part) else np.zeros((0, BANDS), np.int64)
     own, size, root, i, j, band = (part[c].to_numpy() for c in ("own", "size", "root", "i", "j", "band"))
-    enough = agreeing(similarity)
 
     def pairs():
         for cell in np.split(np.arange(len(part)), cuts):
@@ -171,7 +194,7 @@ def _cells(part: pd.DataFrame, similarity: float):
             for k, a in enumerate(cell if one else cell[own[cell] == i[cell[0]]]):
                 near = others[k + 1 :] if one else others
                 near = near[(root[near] != root[a]) & (np.minimum(size[near], size[a]) >= similarity * np.maximum(size[near], size[a]))]
-                near = near[(least[near] == least[a]).sum(axis=1) >= enough]
+                near = near[method.alike(least[near], least[a])]
                 near = near[~(keys[near, :at] == keys[a, :at]).any(axis=1)]
                 if len(near):
                     yield a, near
@@ -179,11 +202,11 @@ def _cells(part: pd.DataFrame, similarity: float):
     return part, pairs()
 
 
-def with_partners(members: DataFrame, similarity: float) -> DataFrame:
+def with_partners(members: DataFrame, similarity: float, method) -> DataFrame:
     """(band, key, node) of members that have a likely partner of another root: no pair leaves its task."""
 
     def find(part: pd.DataFrame) -> pd.DataFrame:
-        part, pairs = _cells(part, similarity)
+        part, pairs = _cells(part, similarity, method)
         seen = np.zeros(len(part), bool)
         for a, near in pairs:
             seen[a] = seen[near] = True
@@ -193,11 +216,11 @@ def with_partners(members: DataFrame, similarity: float) -> DataFrame:
     return cells_of(members).select(columns).groupBy("task").applyInPandas(find, "band int, key long, node long").distinct()
 
 
-def links_of(members: DataFrame, similarity: float) -> DataFrame:
+def links_of(members: DataFrame, similarity: float, method) -> DataFrame:
     """(u, v) verified on the members' shingles in the tasks: enough of them that all that are alike hang together."""
 
     def verify(part: pd.DataFrame) -> pd.DataFrame:
-        part, pairs = _cells(part, similarity)
+        part, pairs = _cells(part, similarity, method)
         sets = [np.frombuffer(x, np.uint64) for x in part["shingles"]]
         node, root = part["node"].to_numpy(), part["root"].to_numpy()
         parent = {r: r for r in root.tolist()}
@@ -253,8 +276,8 @@ def pairs_apart(members: DataFrame) -> tuple[int, float]:
     return found[0] or 0, found[1] or 0.0
 
 
-def likely_leaders(members: DataFrame, turn: int, similarity: float) -> DataFrame:
-    """(u, v) of each member outside its band's largest group and LEADERS members of that, if enough of their minima agree."""
+def likely_leaders(members: DataFrame, turn: int, similarity: float, method) -> DataFrame:
+    """(u, v) of each member outside its band's largest group and LEADERS members of that, if their signatures are alike."""
     lead = F.struct("node", "size", "least")
     picked = members.groupBy("band", "key", "root").agg(F.count("*").alias("n"), *[
         F.min_by(lead, F.xxhash64("node", "band", F.lit(LEADERS * turn + i))).alias(f"l{i}") for i in range(LEADERS)])
@@ -267,24 +290,30 @@ def likely_leaders(members: DataFrame, turn: int, similarity: float) -> DataFram
     alike = F.least("size", "lead.size") >= similarity * F.greatest("size", "lead.size")
     both = both.where(alike).select(F.least("node", "lead.node").alias("u"), F.greatest("node", "lead.node").alias("v"),
                                     F.col("least").alias("a"), F.col("lead.least").alias("b"))
-    enough = agreeing(similarity)
 
     def run(batches):
         for batch in batches:
             a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(batch.num_rows, -1) for c in ("a", "b"))
-            near = pa.array((a == b).sum(axis=1) >= enough)
+            near = pa.array(method.alike(a, b), pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column("u"), batch.column("v")], ["u", "v"]).filter(near)
 
     return both.mapInArrow(run, "u long, v long").distinct()
 
 
-def grouped(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
+def grouped(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, by: str = MINIMA) -> DataFrame:
     """(doc_id, content, root) of every row; rows of a group share the root, a node."""
-    rows = stage(signatures(docs, shingle), "signatures")
-    distinct = rows.groupBy("node").agg(F.first("size").alias("size"), F.first("keys").alias("keys"))
-    keyed = distinct.select("node", "size", F.posexplode("keys").alias("band", "key"))
+    method = Minima(similarity) if by == MINIMA else Tables(docs.count(), similarity)
+    rows = stage(signatures(docs, shingle, method), "signatures")
+    if by == MINIMA:
+        distinct = rows.groupBy("node").agg(F.first("size").alias("size"), F.first("keys").alias("keys"))
+        keyed, order = distinct.select("node", "size", F.posexplode("keys").alias("band", "key")), F.xxhash64("node", "band")
+    else:
+        distinct = rows.where("size > 0").groupBy("node").agg(F.first("size").alias("size"), F.first("least").alias("least"))
+        met = stage(method.meetings(distinct), "meetings")
+        # a group has the same leader in most tables, so that its pairs are few
+        keyed, order = met.join(rows.select("node", "size").distinct(), "node").select("node", "size", "band", "key"), F.xxhash64("node")
     leaders = keyed.groupBy("band", "key").agg(
-        F.count("*").alias("n"), F.min_by("node", F.xxhash64("node", "band")).alias("lead"), F.min_by("size", F.xxhash64("node", "band")).alias("lead_size")
+        F.count("*").alias("n"), F.min_by("node", order).alias("lead"), F.min_by("size", order).alias("lead_size")
     ).where("n > 1").drop("n")
     members = stage(keyed.join(leaders, ["band", "key"]), "members")
     alike = F.least("size", "lead_size") >= similarity * F.greatest("size", "lead_size")
@@ -297,20 +326,20 @@ def grouped(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataF
     found, turn, before = [links], 0, float("inf")
     while (sizes := pairs_apart(apart))[1] > sizes[0] and sizes[1] < before / 2:
         before, turn = sizes[1], turn + 1
-        led = stage(likely_leaders(apart, turn, similarity), "pairs")
+        led = stage(likely_leaders(apart, turn, similarity, method), "pairs")
         more = stage(verified(led, docs, rows, shingle, similarity), "links")
         if more.isEmpty():
             break
         found.append(more)
         apart = stage(merged(apart, more), "apart")
     # members of a band that are still apart are held against each other, where any may be alike with their shingles
-    likely = stage(with_partners(apart, similarity), "likely")
+    likely = stage(with_partners(apart, similarity, method), "likely")
     sets = shingle_sets(docs, rows, likely.select("node").distinct(), shingle)
-    found.append(links_of(stage(apart.join(likely, ["band", "key", "node"], "left_semi").join(sets, "node"), "sets"), similarity))
+    found.append(links_of(stage(apart.join(likely, ["band", "key", "node"], "left_semi").join(sets, "node"), "sets"), similarity, method))
     roots = components(functools.reduce(DataFrame.union, found)).withColumnRenamed("root", "found")
     return rows.join(roots, "node", "left").select("doc_id", "content", F.coalesce("found", "node").alias("root"))
 
 
-def keep_one(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
+def keep_one(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, by: str = MINIMA) -> DataFrame:
     """One row of ``docs`` of each group of near copies: the one with the smallest doc_id, null ids last."""
-    return one_of_each(docs, grouped(docs, shingle, similarity))
+    return one_of_each(docs, grouped(docs, shingle, similarity, by))
