@@ -24,10 +24,11 @@ BITS = 64
 MISS, LOAD, NARROWEST = 0.000026, 256, 10
 #: Bits that differ in sets of few shingles beyond their share in large ones: 0.1875 for four shingles of five, 0.1515 in general.
 SHORT = 0.036
-#: Standard deviations above the mean number of differing bits up to which a pair goes on.
-SPREAD = 4
+#: Standard deviations above the mean number of differing bits up to which a pair meets in a table, and is verified. The share
+#: of pairs at the similarity that are within the first and still meet.
+MEETING, SPREAD, WITHIN = 3, 4, 0.995
 #: Entries of a task, and members of a bucket compared at once.
-TASK_TEXTS, BLOCK = 400_000, 512
+TASK_TEXTS, BLOCK = 1_000_000, 512
 #: Shingles whose bits are added in a byte.
 ADDED = 255
 
@@ -37,10 +38,10 @@ def differing(similarity: float) -> float:
     return math.acos(2 * similarity / (1 + similarity)) / math.pi + SHORT
 
 
-def allowed(bits: int, similarity: float) -> int:
-    """Differing bits of so many that a pair worth verifying may have."""
+def allowed(bits: int, similarity: float, spread: float) -> int:
+    """Differing bits of so many that a pair worth going on with may have."""
     q = differing(similarity)
-    return math.ceil(bits * q + SPREAD * math.sqrt(bits * q * (1 - q)))
+    return math.ceil(bits * q + spread * math.sqrt(bits * q * (1 - q)))
 
 
 class Tables:
@@ -51,7 +52,7 @@ class Tables:
     def __init__(self, texts: int, similarity: float):
         self.similarity = similarity
         self.width = min(BITS // 2, max(NARROWEST, math.ceil(math.log2(max(1, texts) / LOAD))))
-        met = (1 - differing(similarity)) ** self.width * 0.999
+        met = (1 - differing(similarity)) ** self.width * WITHIN
         self.bands = BITS // self.width
         # at least two, as a pair is held against the next fingerprint as well
         self.fingerprints = max(2, -(-math.ceil(math.log(MISS) / math.log(1 - met)) // self.bands))
@@ -72,10 +73,13 @@ class Tables:
 
     def alike(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Whether rows of signatures, as 16-bit numbers, differ in few enough bits."""
-        return np.bitwise_count(a ^ b).sum(axis=1) <= allowed(self.fingerprints * BITS, self.similarity)
+        return np.bitwise_count(a ^ b).sum(axis=1) <= allowed(self.fingerprints * BITS, self.similarity, SPREAD)
 
     def entries(self, texts: DataFrame) -> DataFrame:
-        """(task, data): the texts (node, least) dealt to tables, as packed rows (fingerprint, the next one, node)."""
+        """(task, data): the texts (node, least) dealt to tables, as packed rows (fingerprint, the next one, node).
+
+        While a task can hold all texts, the tables of a fingerprint are one task and share its rows.
+        """
         own = self
 
         def run(batches):
@@ -84,7 +88,7 @@ class Tables:
                 nodes = batch.column("node").to_numpy().view(np.uint64)
                 prints = np.frombuffer(b"".join(batch.column("least").to_pylist()), "<u8").reshape(-1, own.fingerprints)
                 tasks, blobs = [], []
-                for k in range(own.tables if len(nodes) else 0):
+                for k in range(0, own.tables if len(nodes) else 0, own.bands if own.parts == 1 else 1):
                     at = k // own.bands
                     rows = np.column_stack([prints[:, at], prints[:, (at + 1) % own.fingerprints], nodes])
                     part = own.bucket(rows[:, 0], k) % np.uint64(own.parts)
@@ -102,10 +106,10 @@ class Tables:
 
     def near(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Which of the rows a meet which of the rows b: a matrix."""
-        found = np.bitwise_count(a[:, None, 0] ^ b[:, 0]) <= allowed(BITS - self.width, self.similarity)
+        found = np.bitwise_count(a[:, None, 0] ^ b[:, 0]) <= allowed(BITS - self.width, self.similarity, MEETING)
         i, j = np.nonzero(found)
         both = np.bitwise_count(a[i, 0] ^ b[j, 0]).astype(np.int16) + np.bitwise_count(a[i, 1] ^ b[j, 1])
-        found[i, j] = both <= allowed(2 * BITS - self.width, self.similarity)
+        found[i, j] = both <= allowed(2 * BITS - self.width, self.similarity, MEETING)
         return found
 
     def hanging_together(self, rows: np.ndarray) -> list[np.ndarray]:
@@ -133,16 +137,21 @@ class Tables:
 
         def find(part: pd.DataFrame) -> pd.DataFrame:
             release()
-            table = int(part["task"].iloc[0]) // own.parts
+            first = int(part["task"].iloc[0]) // own.parts
             rows = np.frombuffer(b"".join(part["data"]), "<u8").reshape(-1, 3)
-            buckets = own.bucket(rows[:, 0], table)
-            order = np.argsort(buckets, kind="stable")
-            rows, buckets = rows[order], buckets[order]
-            groups = [np.ascontiguousarray(g[:, 2]).view(np.int64)
-                      for bucket in np.split(rows, np.flatnonzero(buckets[1:] != buckets[:-1]) + 1) if len(bucket) > 1
-                      for g in own.hanging_together(bucket)]
+            groups, band = [], []
+            for table in range(first, first + (own.bands if own.parts == 1 else 1)):
+                buckets = own.bucket(rows[:, 0], table)
+                order = np.argsort(buckets, kind="stable")
+                cuts = np.flatnonzero(np.diff(buckets[order])) + 1
+                for some in np.split(order, cuts):
+                    if len(some) > 1:
+                        found = [np.ascontiguousarray(g[:, 2]).view(np.int64) for g in own.hanging_together(rows[some])]
+                        groups += found
+                        band += [table] * len(found)
             node = np.concatenate(groups) if groups else np.zeros(0, np.int64)
-            key = np.repeat([g.min() for g in groups], [len(g) for g in groups]).astype(np.int64) if groups else node
-            return pd.DataFrame({"band": np.full(len(node), table, np.int32), "key": key, "node": node})
+            sizes = [len(g) for g in groups]
+            key = np.repeat(np.array([g.min() for g in groups], np.int64), sizes)
+            return pd.DataFrame({"band": np.repeat(np.array(band, np.int32), sizes), "key": key, "node": node})
 
         return self.entries(texts).groupBy("task").applyInPandas(find, "band int, key long, node long")

@@ -9,6 +9,7 @@ import corpus_pipeline
 from skylag.llm import near_copies
 from skylag.llm.near_copies import SIMHASH, keep_one
 from skylag.llm.simhash_tables import Tables
+from skylag.session import stage
 from tests.llm import nasty
 from tests.llm.test_near_copies import roots
 
@@ -44,6 +45,16 @@ def test_large_bucket_hangs_together_as_pair_by_pair():
     assert groups == [list(range(i, 1500, 4)) for i in range(4)]
 
 
+def test_split_tables_give_the_same_groups(spark, sf_dir, monkeypatch):
+    """Texts dealt to several tasks by bucket meet as in one task."""
+    small = spark.read.parquet(f"{sf_dir.replace('sf0.01', 'sf0.001')}/documents.parquet").where("length(text) > 0").limit(150)
+    tables = Tables(150, 0.8)
+    texts = stage(near_copies.signatures(small, 5, tables).where("size > 0").select("node", "least").distinct())
+    whole = sorted(map(tuple, tables.meetings(texts).collect()))
+    monkeypatch.setattr(tables, "parts", 3)
+    assert whole and sorted(map(tuple, tables.meetings(texts).collect())) == whole
+
+
 def test_the_stage_finds_candidates_by_simhash(spark, sf_dir, monkeypatch):
     """No minima are taken, and without tables nothing is found."""
     monkeypatch.setattr(near_copies, "Minima", None)
