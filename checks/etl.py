@@ -24,10 +24,10 @@ def hourly(spark, sf_dir):
     return wx.hourly_weather(fx.reports(spark, sf_dir))
 
 
-def silver(spark, sf_dir, direction, with_key=True):
-    """Silver rows of one direction over a freshly written hourly table."""
+def silver(spark, sf_dir, direction, with_key=True, hours=None):
+    """Silver rows of one direction over the given hourly table, or a freshly written one."""
     join = {"dep": sv.silver_dep, "arr": sv.silver_arr}[direction]
-    joined = join(bronze(spark, sf_dir), sv.hourly_table(hourly(spark, sf_dir)))
+    joined = join(bronze(spark, sf_dir), sv.hourly_table(hourly(spark, sf_dir)) if hours is None else hours)
     return sv.to_silver(joined, with_key)
 
 

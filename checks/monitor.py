@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from checks.etl import KEYED, bronze, silver
+from checks.etl import KEYED, bronze, hourly, silver
 from checks.explore import ORDER_SQL, histogram_sql, kind_of, stats_sql
 from checks.registry import query
 from checks.sql import MEASURE_COLS, NUMERIC_COLS, SILVER_COLS, cols, ctes, r
@@ -13,6 +13,7 @@ from skylag.operators import monitor as mon
 from skylag.operators import profile as pf
 from skylag.operators import quantiles as qt
 from skylag.operators import relations
+from skylag.operators import silver as sv
 from skylag.operators import validate as vl
 from skylag.operators.distributions import group_quantiles
 from skylag.operators.weather import settled
@@ -478,5 +479,6 @@ def _(spark, sf):
 
 @query("stats_compare", f"""{ctes('dep6', 'arr6')} {compare_sql('dep6','arr6','dep','arr')}""")
 def _(spark, sf):
-    both = {d: pf.numeric_stats(settled_silver(spark, sf, d), NUMERIC_COLS) for d in ("dep", "arr")}
+    hours = sv.hourly_table(hourly(spark, sf))
+    both = {d: pf.numeric_stats(settled(silver(spark, sf, d, hours=hours), MEASURE_COLS), NUMERIC_COLS) for d in ("dep", "arr")}
     return vl.compare_stats(both["dep"], both["arr"], ("dep", "arr"))
