@@ -4,8 +4,8 @@ By SimHash, candidates meet in a table of ``simhash_tables``, and what follows c
 By minima, candidates share a band: the hash of ROWS minima of a text's shingles, under own hash functions for each of BANDS
 bands. A pair at similarity s shares none with probability (1 - s**ROWS)**BANDS, 0.000026 at s = 0.8 and less above.
 Candidates are verified on the shingles themselves. First every text meets a leader of each of its bands. While more pairs
-than members are apart, and a turn halves them, those outside a band's largest group meet some members of that; so a large group
-of near copies, also one that hangs together by chains alone, costs a few pairs a member. Members of a band that are then
+than members are apart, and a turn halves them, texts outside a band's largest group meet some members of that, in one band
+each; so a large group of near copies, also one that hangs together by chains alone, costs a few pairs a text. Members of a band that are then
 still in different groups are held against each other, by their minima and in blocks of bounded size: a pair goes on
 to be verified if enough of its minima agree, which a pair at 0.8 misses with probability 0.000003. So texts that
 share a license or a menu, and with it a band, but are not alike give few pairs, and none carries its shingles.
@@ -39,7 +39,7 @@ CHUNK = 2048
 AGREE = 46
 #: Members of a band held against each other at once and bytes of their shingles; rows and bytes of such a task.
 BLOCK, BLOCK_BYTES, TASK_ROWS, TASK_BYTES = 500, 4_000_000, 100_000, 16_000_000
-#: Members of a band's largest group that the others meet in a turn.
+#: Members of a band's largest group that a node outside it meets in a turn.
 LEADERS = 4
 
 _rng = np.random.default_rng(5)
@@ -277,16 +277,21 @@ def pairs_apart(members: DataFrame) -> tuple[int, float]:
 
 
 def likely_leaders(members: DataFrame, turn: int, similarity: float, method) -> DataFrame:
-    """(u, v) of each member outside its band's largest group and LEADERS members of that, if their signatures are alike."""
+    """(u, v) of each node outside a band's largest group and LEADERS members of that, if their signatures are alike.
+
+    A node meets those of one of its bands, in every turn another of those whose largest group is about as large as any; so
+    it meets LEADERS at most, however many bands it has. Pairs that no turn meets are left to the blocks.
+    """
+    top = members.groupBy("band", "key", "root").agg(F.count("*").alias("n")).groupBy("band", "key").agg(F.max(F.struct("n", "root")).alias("top"))
+    placed = members.join(top.select("band", "key", F.col("top.n").alias("n"), F.col("top.root").alias("lead_root")), ["band", "key"])
     lead = F.struct("node", "size", "least")
-    picked = members.groupBy("band", "key", "root").agg(F.count("*").alias("n"), *[
-        F.min_by(lead, F.xxhash64("node", "band", F.lit(LEADERS * turn + i))).alias(f"l{i}") for i in range(LEADERS)])
-    largest = picked.groupBy("band", "key").agg(F.max_by(
-        F.struct("root", F.array_distinct(F.array(*[f"l{i}" for i in range(LEADERS)])).alias("leads")), F.struct("n", "root")).alias("best"))
-    largest = largest.select("band", "key", F.col("best.root").alias("lead_root"), F.col("best.leads").alias("leads"))
-    same = (F.col("band") == F.col("lead_band")) & (F.col("key") == F.col("lead_key"))
-    outside = members.join(largest.withColumnsRenamed({"band": "lead_band", "key": "lead_key"}), same & (F.col("root") != F.col("lead_root")))
-    both = outside.select("node", "size", "least", F.explode("leads").alias("lead"))
+    leads = placed.where("root = lead_root").groupBy("band", "key").agg(F.array_distinct(F.array(*[
+        F.min_by(lead, F.xxhash64("node", "band", F.lit(LEADERS * turn + i))) for i in range(LEADERS)])).alias("leads"))
+    at = F.struct(F.floor(F.log2("n")).alias("class"), F.xxhash64("node", "band", F.lit(turn)).alias("order"), "band", "key")
+    outside = placed.where("root <> lead_root").groupBy("node").agg(
+        F.first("size").alias("size"), F.first("least").alias("least"), F.max(at).alias("at"))
+    both = outside.select("node", "size", "least", "at.band", "at.key").join(leads, ["band", "key"]).select(
+        "node", "size", "least", F.explode("leads").alias("lead"))
     alike = F.least("size", "lead.size") >= similarity * F.greatest("size", "lead.size")
     both = both.where(alike).select(F.least("node", "lead.node").alias("u"), F.greatest("node", "lead.node").alias("v"),
                                     F.col("least").alias("a"), F.col("lead.least").alias("b"))

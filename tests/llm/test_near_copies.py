@@ -72,6 +72,21 @@ def test_a_group_that_hangs_together_by_chains_costs_few_pairs(spark, monkeypatc
     assert sum(counted) + sum(joined) < 30 * 600 and len(joined) == 1
 
 
+def test_a_node_meets_few_leaders_however_many_bands_it_has(spark):
+    """60 nodes in all of 20 bands, half of them of one root: the others meet LEADERS of it at most, in every turn other ones."""
+    rows = [(band, 7, node, 100, 0 if node < 30 else node, b"ab") for band in range(20) for node in range(60)]
+    members = spark.createDataFrame(rows, "band int, key long, node long, size long, root long, least binary").repartition(4)
+    anything = near_copies.Minima(0.8)
+    anything.alike = lambda a, b: np.ones(len(a), bool)
+    turns = []
+    for turn in (1, 2):
+        pairs = [tuple(r) for r in near_copies.likely_leaders(members, turn, 0.8, anything).collect()]
+        assert {v for _, v in pairs} == set(range(30, 60)) and {u for u, _ in pairs} <= set(range(30))
+        assert len(pairs) <= near_copies.LEADERS * 30
+        turns.append(set(pairs))
+    assert turns[0] != turns[1]
+
+
 def test_texts_that_share_a_license_give_few_pairs(spark, monkeypatch):
     """700 unlike texts of which nearly half is the same, some with a near copy: bands are shared, hardly any pair is verified."""
     rng = random.Random(8)
