@@ -99,6 +99,9 @@ class Minima:
     def alike(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return (a == b).sum(axis=1) >= self.enough
 
+    def likely(self, a: np.ndarray, b: np.ndarray, smaller: np.ndarray) -> np.ndarray:
+        return self.alike(a, b)
+
 
 def signatures(docs: DataFrame, shingle: int, method) -> DataFrame:
     """(doc_id, content, node, size, keys, least) of every row: node is a hash of the words, size the number of shingles.
@@ -194,7 +197,7 @@ def _cells(part: pd.DataFrame, similarity: float, method):
             for k, a in enumerate(cell if one else cell[own[cell] == i[cell[0]]]):
                 near = others[k + 1 :] if one else others
                 near = near[(root[near] != root[a]) & (np.minimum(size[near], size[a]) >= similarity * np.maximum(size[near], size[a]))]
-                near = near[method.alike(least[near], least[a])]
+                near = near[method.likely(least[near], least[a], np.minimum(size[near], size[a]))]
                 near = near[~(keys[near, :at] == keys[a, :at]).any(axis=1)]
                 if len(near):
                     yield a, near
@@ -307,7 +310,7 @@ def likely_leaders(members: DataFrame, turn: int, similarity: float, method) ->
 
 def grouped(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, by: str = MINIMA) -> DataFrame:
     """(doc_id, content, root) of every row; rows of a group share the root, a node."""
-    method = Minima(similarity) if by == MINIMA else Tables(docs.count(), similarity)
+    method = Minima(similarity) if by == MINIMA else Tables(docs.count(), similarity, merge=True)
     rows = stage(signatures(docs, shingle, method), "signatures")
     if by == MINIMA:
         distinct = rows.groupBy("node").agg(F.first("size").alias("size"), F.first("keys").alias("keys"))
@@ -325,7 +328,7 @@ def grouped(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, by: str
     stars = stage(members.where(F.col("node") != F.col("lead")).where(alike).select(
         F.least("node", "lead").alias("u"), F.greatest("node", "lead").alias("v")).distinct(), "pairs")
     links = stage(verified(stars, docs, rows, shingle, similarity), "links")
-    apart = joined_roots(members, links)
+    apart = stage(joined_roots(members, links), "mixed")
     short = rows.join(apart.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.first("least").alias("least"), F.first("keys").alias("keys"))
     apart = stage(apart.join(short, "node"), "apart")
     found, turn, before = [links], 0, float("inf")
